@@ -17,7 +17,7 @@ from pingzones.operators.zone_index import build_zone_index
 from pingzones.operators.zone_join import with_zone
 from pingzones.plans import cycle, transform
 from pingzones.schema import PING_COLUMNS, PING_SCHEMA
-from pingzones.sinks.targets import PathTarget, latest_time
+from pingzones.sinks.targets import PathTarget, latest_time_of_files
 from pingzones.sources import pings as source
 from pingzones.sources.zones import empty_zones, read_zones
 from pingzones.streaming.cycle import start_stream
@@ -142,7 +142,7 @@ def zone_of_ping_shuffled(spark, sf_dir):
 
 def _bin(column: str, function, out: str) -> Query:
     return lambda spark, sf_dir: pings(spark, sf_dir).select(
-        "id", column, function(F.col(column)).alias(out)
+        "id", column, function(column).alias(out)
     )
 
 
@@ -211,7 +211,13 @@ def category_rollup(spark, sf_dir):
 
 
 def target_high_water_mark(spark, sf_dir):
-    return latest_time(enriched_pings(spark, sf_dir))
+    target = PathTarget(spark, new_folder(spark, "mark"))
+    shaped = output_shape(spark, sf_dir)
+    early = F.col("fecha_hora") < parsing.ntz(MARK)
+    # The later rows are written first: the newest files need not hold the maximum.
+    target.append(shaped.filter(~early))
+    target.append(shaped.filter(early))
+    return latest_time_of_files(target.read())
 
 
 def next_id(spark, sf_dir):

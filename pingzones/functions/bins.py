@@ -1,7 +1,8 @@
-"""Category labels as plain column expressions (no Python at run time).
+"""Category labels as SQL expressions (no Python at run time).
 
-Spark orders NaN above every number, so a NaN reading falls through every
-``<=`` test to the last label, which is the wanted outcome.
+Each function takes the name of the input column and returns a column.  Spark
+orders NaN above every number, so a NaN reading falls through every ``<=`` test
+to the last label, which is the wanted outcome.
 """
 
 from __future__ import annotations
@@ -12,41 +13,41 @@ from pyspark.sql import functions as F
 from pingzones.schema import DEFAULT_THRESHOLDS, Thresholds
 
 
-def altitude_bin(c: Column, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
+def altitude_bin(c: str, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
     """Metres to Baja / Media / Alta; null counts as Baja."""
-    return (
-        F.when(c.isNull() | (c <= t.altitude_low_max), "Baja")
-        .when(c <= t.altitude_mid_max, "Media")
-        .otherwise("Alta")
+    return F.expr(
+        f"""CASE WHEN {c} IS NULL OR {c} <= {t.altitude_low_max} THEN 'Baja'
+                 WHEN {c} <= {t.altitude_mid_max} THEN 'Media'
+                 ELSE 'Alta' END"""
     )
 
 
-def coverage_bin(c: Column, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
+def coverage_bin(c: str, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
     """Signal in dBm to Alta / Media / Baja; null fails both tests, so Baja."""
-    return (
-        F.when(c >= t.coverage_high_min, "Alta")
-        .when(c >= t.coverage_mid_min, "Media")
-        .otherwise("Baja")
+    return F.expr(
+        f"""CASE WHEN {c} >= {t.coverage_high_min} THEN 'Alta'
+                 WHEN {c} >= {t.coverage_mid_min} THEN 'Media'
+                 ELSE 'Baja' END"""
     )
 
 
-def speed_bin(c: Column, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
+def speed_bin(c: str, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
     """km/h to Detenido / Lento / Normal / Rápido; null counts as Detenido."""
-    return (
-        F.when(c.isNull() | (c == 0), "Detenido")
-        .when(c <= t.speed_slow_max, "Lento")
-        .when(c <= t.speed_normal_max, "Normal")
-        .otherwise("Rápido")
+    return F.expr(
+        f"""CASE WHEN {c} IS NULL OR {c} = 0 THEN 'Detenido'
+                 WHEN {c} <= {t.speed_slow_max} THEN 'Lento'
+                 WHEN {c} <= {t.speed_normal_max} THEN 'Normal'
+                 ELSE 'Rápido' END"""
     )
 
 
-def battery_bin(c: Column, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
+def battery_bin(c: str, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
     """Percent to Crítica / Baja / Media / Alta; null counts as Baja."""
-    return (
-        F.when(c <= t.battery_critical_max, "Crítica")
-        .when(c.isNull() | (c <= t.battery_low_max), "Baja")
-        .when(c <= t.battery_mid_max, "Media")
-        .otherwise("Alta")
+    return F.expr(
+        f"""CASE WHEN {c} <= {t.battery_critical_max} THEN 'Crítica'
+                 WHEN {c} IS NULL OR {c} <= {t.battery_low_max} THEN 'Baja'
+                 WHEN {c} <= {t.battery_mid_max} THEN 'Media'
+                 ELSE 'Alta' END"""
     )
 
 
@@ -60,10 +61,9 @@ OPERATOR_MARKS = [
 OTHER_OPERATOR = "OTRO"
 
 
-def operator_class(c: Column) -> Column:
-    """SIM operator text to ENTEL / TIGO / VIVA / OTRO."""
-    name = F.upper(F.trim(c))
-    label = F.lit(OTHER_OPERATOR)
-    for mark, value in reversed(OPERATOR_MARKS):
-        label = F.when(name.contains(mark), value).otherwise(label)
-    return label
+def operator_class(c: str) -> Column:
+    """SIM operator text to ENTEL / TIGO / VIVA / OTRO; null counts as OTRO."""
+    cases = " ".join(
+        f"WHEN contains(upper({c}), '{mark}') THEN '{value}'" for mark, value in OPERATOR_MARKS
+    )
+    return F.expr(f"CASE {cases} ELSE '{OTHER_OPERATOR}' END")

@@ -1,4 +1,4 @@
-"""Planar point-in-polygon tests over an array of edges.
+"""Planar point-in-polygon tests over an array of edges, as SQL expressions.
 
 An edge is ``struct<ax, ay, bx, by: double>``.  The edges of all rings of all
 parts of a zone are kept together: even-odd parity then takes care of holes and
@@ -8,59 +8,36 @@ agree on which side of an edge a point lies.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 EDGE_TYPE = "struct<ax:double,ay:double,bx:double,by:double>"
 
 
-def cross(e: Column, x: Column, y: Column) -> Column:
+def cross(e: str, x: str, y: str) -> str:
     """Positive left of the edge a-b, negative right of it, zero on its line."""
-    return (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-
-
-def crosses_ray(e: Column, x: Column, y: Column) -> Column:
-    """True when the edge meets the ray that leaves (x, y) eastwards."""
-    spans = (e["ay"] > y) != (e["by"] > y)
-    return spans & ((cross(e, x, y) > 0) == (e["by"] > e["ay"]))
+    return f"(({e}.bx - {e}.ax) * ({y} - {e}.ay) - ({e}.by - {e}.ay) * ({x} - {e}.ax))"
 
 
-def odd_crossings(edges: Column, x: Column, y: Column) -> Column:
-    return F.aggregate(edges, F.lit(False), lambda odd, e: odd != crosses_ray(e, x, y))
+def odd_crossings(edges: str, x: str, y: str) -> str:
+    """True when an odd number of edges meet the ray that leaves (x, y) eastwards."""
+    meets = f"(e.ay > {y}) <> (e.by > {y}) AND ({cross('e', x, y)} > 0) = (e.by > e.ay)"
+    return f"aggregate({edges}, false, (odd, e) -> odd <> ({meets}))"
 
 
-def on_any_edge(edges: Column, x: Column, y: Column) -> Column:
-    return F.exists(
-        edges,
-        lambda e: x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
-        & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
-        & (cross(e, x, y) == 0),
-    )
+def on_any_edge(edges: str, x: str, y: str) -> str:
+    return f"""exists({edges}, e ->
+        {x} BETWEEN least(e.ax, e.bx) AND greatest(e.ax, e.bx)
+        AND {y} BETWEEN least(e.ay, e.by) AND greatest(e.ay, e.by)
+        AND {cross('e', x, y)} = 0)"""
 
 
-def strictly_inside(edges: Column, x: Column, y: Column) -> Column:
+def strictly_inside(edges: str, x: str, y: str) -> str:
     """Inside and not on the border."""
-    return odd_crossings(edges, x, y) & ~on_any_edge(edges, x, y)
+    return f"({odd_crossings(edges, x, y)} AND NOT {on_any_edge(edges, x, y)})"
 
 
-def ring_edges(rings: Column) -> Column:
+def ring_edges(rings: str) -> str:
     """Edges of closed or unclosed rings (``array<array<array<double>>>``)."""
-
-    def one_ring(ring: Column) -> Column:
-        following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring), F.lit(1))), F.slice(ring, 1, 1))
-        return F.zip_with(
-            ring,
-            following,
-            lambda a, b: F.struct(
-                F.get(a, F.lit(0)).alias("ax"),
-                F.get(a, F.lit(1)).alias("ay"),
-                F.get(b, F.lit(0)).alias("bx"),
-                F.get(b, F.lit(1)).alias("by"),
-            ),
-        )
-
+    one_ring = """zip_with(ring, concat(slice(ring, 2, greatest(size(ring), 1)), slice(ring, 1, 1)),
+        (a, b) -> named_struct('ax', get(a, 0), 'ay', get(a, 1), 'bx', get(b, 0), 'by', get(b, 1)))"""
     # A closed ring repeats its first vertex, which gives one edge of no length.
-    return F.filter(
-        F.flatten(F.transform(rings, one_ring)),
-        lambda e: (e["ax"] != e["bx"]) | (e["ay"] != e["by"]),
-    )
+    return f"""filter(flatten(transform({rings}, ring -> {one_ring})),
+        e -> e.ax <> e.bx OR e.ay <> e.by)"""

@@ -13,14 +13,14 @@ row grows with the number of zones that share a place.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pingzones.functions.geometry import EDGE_TYPE, cross, odd_crossings
+from pingzones.functions.geometry import cross, odd_crossings
 
-CELLS_PER_ZONE = 256
+CELLS_PER_ZONE = 1024
 MAX_EDGES_PER_ROW = 50_000
 # Upper estimates of the bytes of one edge, zone entry and cell in a hash table.
 _EDGE_BYTES, _ENTRY_BYTES, _CELL_BYTES = 48, 128, 96
@@ -35,7 +35,6 @@ class ZoneIndex:
     bounds: tuple[float, float, float, float]  # x0, x1, y0, y1
     levels: list[DataFrame]
     bytes_estimate: int
-    _held: list[DataFrame] = field(default_factory=list, repr=False)
 
     @property
     def is_empty(self) -> bool:
@@ -43,8 +42,8 @@ class ZoneIndex:
 
     def release(self) -> None:
         """Free the cached cells."""
-        for df in self._held:
-            df.unpersist()
+        for level in self.levels:
+            level.unpersist()
 
 
 def default_cell(n: int, area: float, extent: float) -> float:
@@ -56,56 +55,43 @@ def default_cell(n: int, area: float, extent: float) -> float:
 
 def _zone_cells(zones: DataFrame, cell: float) -> DataFrame:
     """One row per zone and cell it may touch: ``cx, cy, ord, name, covers, edges``."""
-    c = F.lit(cell)
+    c = f"{cell!r}D"
     # Covers rounding in floor(x / cell) and in the products of the edge tests.
-    slack = cell * 1e-6
-
-    def low(k: str) -> Column:
-        return F.col(k) * c - slack
-
-    def high(k: str) -> Column:
-        return (F.col(k) + 1) * c + slack
-
-    def cells_between(a: str, b: str) -> Column:
-        return F.sequence(F.floor(F.col(a) / c), F.floor(F.col(b) / c))
-
-    def runs_through(e: Column) -> Column:
-        corners = [cross(e, x, y) for x in (low("cx"), high("cx")) for y in (low("cy"), high("cy"))]
-        in_box = (
-            (F.least(e["ax"], e["bx"]) <= high("cx"))
-            & (F.greatest(e["ax"], e["bx"]) >= low("cx"))
-            & (F.least(e["ay"], e["by"]) <= high("cy"))
-            & (F.greatest(e["ay"], e["by"]) >= low("cy"))
+    slack = f"{cell * 1e-6!r}D"
+    west, east = f"(cx * {c} - {slack})", f"((cx + 1) * {c} + {slack})"
+    south, north = f"(cy * {c} - {slack})", f"((cy + 1) * {c} + {slack})"
+    corners = ", ".join(cross("e", x, y) for x in (west, east) for y in (south, north))
+    runs_through = f"""
+        least(e.ax, e.bx) <= {east} AND greatest(e.ax, e.bx) >= {west}
+        AND least(e.ay, e.by) <= {north} AND greatest(e.ay, e.by) >= {south}
+        AND NOT (least({corners}) > 0 OR greatest({corners}) < 0)"""
+    middle = f"((cx + 0.5D) * {c})", f"((cy + 0.5D) * {c})"
+
+    rows = (
+        zones.filter("size(edges) > 0")
+        .selectExpr(
+            *("ord", "name", "x0", "x1", "edges"),
+            f"explode(sequence(floor(y0 / {c}), floor(y1 / {c}))) AS cy",
         )
-        one_side = (F.least(*corners) > 0) | (F.greatest(*corners) < 0)
-        return in_box & ~one_side
-
-    rows = zones.filter(F.size("edges") > 0).select(
-        "ord", "name", "x0", "x1", "edges", F.explode(cells_between("y0", "y1")).alias("cy")
-    )
-    rows = rows.withColumn(
-        "edges",
-        F.filter(
+        .withColumn(
             "edges",
-            lambda e: (F.greatest(e["ay"], e["by"]) >= low("cy"))
-            & (F.least(e["ay"], e["by"]) <= high("cy")),
-        ),
+            F.expr(
+                f"filter(edges, e -> greatest(e.ay, e.by) >= {south}"
+                f" AND least(e.ay, e.by) <= {north})"
+            ),
+        )
     )
-    cells = rows.select(
-        "ord", "name", "edges", "cy", F.explode(cells_between("x0", "x1")).alias("cx")
-    ).withColumn("edges", F.filter("edges", lambda e: F.greatest(e["ax"], e["bx"]) >= low("cx")))
-    middle = ((F.col("cx") + 0.5) * c, (F.col("cy") + 0.5) * c)
+    cells = rows.selectExpr(
+        *("ord", "name", "edges", "cy"),
+        f"explode(sequence(floor(x0 / {c}), floor(x1 / {c}))) AS cx",
+    ).withColumn("edges", F.expr(f"filter(edges, e -> greatest(e.ax, e.bx) >= {west})"))
     return (
-        cells.withColumn("border", F.exists("edges", runs_through))
-        .withColumn("covers", ~F.col("border") & odd_crossings(F.col("edges"), *middle))
-        .filter(F.col("border") | F.col("covers"))
-        .select(
-            F.col("cx").cast("int").alias("cx"),
-            F.col("cy").cast("int").alias("cy"),
-            "ord",
-            "name",
-            "covers",
-            F.when(F.col("border"), F.col("edges")).alias("edges"),
+        cells.withColumn("border", F.expr(f"exists(edges, e -> {runs_through})"))
+        .withColumn("covers", F.expr(f"NOT border AND {odd_crossings('edges', *middle)}"))
+        .filter("border OR covers")
+        .selectExpr(
+            *("CAST(cx AS INT) AS cx", "CAST(cy AS INT) AS cy", "ord", "name", "covers"),
+            "IF(border, edges, NULL) AS edges",
         )
     )
 
@@ -113,7 +99,7 @@ def _zone_cells(zones: DataFrame, cell: float) -> DataFrame:
 def build_zone_index(
     zones: DataFrame, cell: float | None = None, max_edges: int = MAX_EDGES_PER_ROW
 ) -> ZoneIndex:
-    """Index a zone table.  Runs two small jobs over the zones."""
+    """Index a zone table.  Runs a few small jobs over the zones; the cells stay cached."""
     s = zones.filter(F.size("edges") > 0).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("area"),
@@ -128,43 +114,47 @@ def build_zone_index(
     bounds = (s["x0"], s["x1"], s["y0"], s["y1"])
 
     entries = _zone_cells(zones, cell).persist()
-    winner = F.struct("ord", "name")
-    covering = entries.filter("covers").groupBy("cx", "cy").agg(F.min(winner).alias("covering"))
-    borders = (
-        entries.filter(~F.col("covers"))
-        .join(covering, ["cx", "cy"], "left")
-        .filter(F.col("covering").isNull() | (F.col("ord") < F.col("covering.ord")))
-        .select("cx", "cy", "ord", "name", "edges")
+    most = (
+        entries.groupBy("cx", "cy")
+        .agg(F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("edges"))
+        .agg(F.max("edges"))
+        .first()[0]
+    )
+    n_levels = max(1, math.ceil(most / max_edges))
+    border = ~F.col("covers")
+    spread = entries.withColumn(
+        "level", F.when(border, F.pmod(F.xxhash64("ord"), F.lit(n_levels))).otherwise(0)
     )
-    m = (
-        borders.groupBy("cx", "cy")
-        .agg(F.sum(F.size("edges")).alias("edges"), F.count(F.lit(1)).alias("entries"))
-        .join(covering.select("cx", "cy", F.lit(1).alias("covered")), ["cx", "cy"], "full")
-        .agg(
-            F.coalesce(F.max("edges"), F.lit(0)).alias("most"),
-            F.coalesce(F.sum("edges"), F.lit(0)).alias("edges"),
-            F.coalesce(F.sum("entries"), F.lit(0)).alias("entries"),
+    levels = [_level(spread.filter(F.col("level") == k)).persist() for k in range(n_levels)]
+    size = 0
+    for level in levels:
+        m = level.agg(
             F.count(F.lit(1)).alias("cells"),
-        )
-        .first()
+            F.sum(F.coalesce(F.size("near"), F.lit(0))).alias("entries"),
+            F.sum(_edge_count("near")).alias("edges"),
+        ).first()
+        size += m["cells"] * _CELL_BYTES
+        size += (m["entries"] or 0) * _ENTRY_BYTES + (m["edges"] or 0) * _EDGE_BYTES
+    entries.unpersist()
+    return ZoneIndex(cell, bounds, levels, size)
+
+
+def _level(entries: DataFrame) -> DataFrame:
+    """One row per cell: the first zone covering it and the border zones before that one."""
+    grouped = entries.groupBy("cx", "cy").agg(
+        F.min(F.when(F.col("covers"), F.struct("ord", "name"))).alias("covering"),
+        F.array_sort(
+            F.collect_list(F.when(~F.col("covers"), F.struct("ord", "name", "edges")))
+        ).alias("near"),
+    )
+    reachable = F.filter(
+        "near", lambda z: F.col("covering").isNull() | (z["ord"] < F.col("covering.ord"))
+    )
+    return grouped.withColumn("near", reachable).withColumn(
+        "near", F.when(F.size("near") > 0, F.col("near"))
     )
-    n_levels = max(1, math.ceil(m["most"] / max_edges))
-    size = m["edges"] * _EDGE_BYTES + m["entries"] * _ENTRY_BYTES + m["cells"] * _CELL_BYTES
-
-    spread = borders.withColumn("level", F.pmod(F.xxhash64("ord"), F.lit(n_levels)))
-    levels = []
-    for k in range(n_levels):
-        near = (
-            spread.filter(F.col("level") == k)
-            .groupBy("cx", "cy")
-            .agg(F.array_sort(F.collect_list(F.struct("ord", "name", "edges"))).alias("near"))
-        )
-        if k == 0:
-            near = near.join(covering, ["cx", "cy"], "full")
-        else:
-            near = near.withColumn("covering", F.lit(None).cast(WINNER_TYPE))
-        levels.append(near.select("cx", "cy", "near", "covering").persist())
-    return ZoneIndex(cell, bounds, levels, size, [entries, *levels])
 
 
-NEAR_TYPE = f"array<struct<ord:bigint,name:string,edges:array<{EDGE_TYPE}>>>"
+def _edge_count(near: str) -> Column:
+    per_zone = F.transform(near, lambda z: F.size(z["edges"]).cast("bigint"))
+    return F.coalesce(F.aggregate(per_zone, F.lit(0).cast("bigint"), lambda a, n: a + n), F.lit(0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pingzones.functions.geometry import strictly_inside
@@ -14,19 +14,11 @@ from pingzones.schema import OUTSIDE, UNKNOWN
 BROADCAST_LIMIT = 128 << 20
 
 
-def _first_inside(near: Column, lon: Column, lat: Column) -> Column:
+def _first_inside(near: str, lon: str, lat: str) -> str:
     """Lowest zone of a cell whose edges enclose the point; stops at the first."""
-    return F.aggregate(
-        near,
-        F.lit(None).cast(WINNER_TYPE),
-        lambda found, z: F.coalesce(
-            found,
-            F.when(
-                strictly_inside(z["edges"], lon, lat),
-                F.struct(z["ord"].alias("ord"), z["name"].alias("name")),
-            ),
-        ),
-    )
+    return f"""aggregate({near}, CAST(NULL AS {WINNER_TYPE}), (found, z) ->
+        coalesce(found, CASE WHEN {strictly_inside('z.edges', lon, lat)}
+                             THEN named_struct('ord', z.ord, 'name', z.name) END))"""
 
 
 def with_zone(
@@ -44,45 +36,41 @@ def with_zone(
     each looks up its cell in a broadcast table.  Above it the pings are
     shuffled by cell, with salts for crowded cells.
     """
-    x, y = F.col(lon), F.col(lat)
-    missing = y.isNull() | x.isNull()
+    missing = f"{lat} IS NULL OR {lon} IS NULL"
     if index.is_empty:
-        return pings.withColumn(out, F.when(missing, UNKNOWN).otherwise(OUTSIDE))
+        label = f"CASE WHEN {missing} THEN '{UNKNOWN}' ELSE '{OUTSIDE}' END"
+        return pings.withColumn(out, F.expr(label))
 
-    x0, x1, y0, y1 = index.bounds
+    x0, x1, y0, y1 = (f"{b!r}D" for b in index.bounds)
     # NaN and anything off the map fails this test and gets no cell.
-    on_map = x.between(x0, x1) & y.between(y0, y1)
-    cell = F.lit(index.cell)
+    on_map = f"{lon} BETWEEN {x0} AND {x1} AND {lat} BETWEEN {y0} AND {y1}"
     located = pings.withColumns(
         {
-            "_cx": F.when(on_map, F.floor(x / cell).cast("int")),
-            "_cy": F.when(on_map, F.floor(y / cell).cast("int")),
+            cell: F.expr(f"CASE WHEN {on_map} THEN CAST(floor({c} / {index.cell!r}D) AS INT) END")
+            for cell, c in (("_cx", lon), ("_cy", lat))
         }
     )
     small = index.bytes_estimate <= broadcast_limit
     winners = []
     for k, level in enumerate(index.levels):
         near, covering = f"_near{k}", f"_covering{k}"
-        side = level.select(
-            F.col("cx").alias("_cx"),
-            F.col("cy").alias("_cy"),
-            F.col("near").alias(near),
-            F.col("covering").alias(covering),
+        side = level.selectExpr(
+            "cx AS _cx", "cy AS _cy", f"near AS {near}", f"covering AS {covering}"
         )
         if small:
             located = located.join(F.broadcast(side), ["_cx", "_cy"], "left")
         else:
             located = salted_left_join(located, side, ["_cx", "_cy"], rows_per_task)
-        hit = F.when(F.col(near).isNotNull(), _first_inside(F.col(near), x, y))
+        hit = f"CASE WHEN {near} IS NOT NULL THEN {_first_inside(near, lon, lat)} END"
         if len(index.levels) == 1:
             # Every near zone precedes the covering one.
-            winners.append(F.coalesce(hit, F.col(covering)))
+            winners.append(f"coalesce({hit}, {covering})")
         else:
             # Reduce at once: the arrays must not travel to the next join.
-            win = f"_win{k}"
-            best = hit if k else F.least(hit, F.col(covering))
-            located = located.withColumn(win, best).drop(near, covering)
-            winners.append(F.col(win))
-    winner = winners[0] if len(winners) == 1 else F.least(*winners)
-    label = F.when(missing, UNKNOWN).otherwise(F.coalesce(winner["name"], F.lit(OUTSIDE)))
-    return located.select(*pings.columns, label.alias(out))
+            located = located.withColumn(f"_win{k}", F.expr(f"least({hit}, {covering})"))
+            located = located.drop(near, covering)
+            winners.append(f"_win{k}")
+    winner = winners[0] if len(winners) == 1 else f"least({', '.join(winners)})"
+    label = f"""CASE WHEN {missing} THEN '{UNKNOWN}'
+        ELSE coalesce(({winner}).name, '{OUTSIDE}') END"""
+    return located.selectExpr(*[f"`{c}`" for c in pings.columns], f"{label} AS {out}")

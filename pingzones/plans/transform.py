@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from pingzones.functions import bins
 from pingzones.operators.zone_index import ZoneIndex
@@ -21,18 +20,18 @@ from pingzones.schema import (
 def category_columns(t: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, Column]:
     """The five categories that depend on the ping alone."""
     return {
-        "altitud_categoria": bins.altitude_bin(F.col("altitude"), t),
-        "cobertura_categoria": bins.coverage_bin(F.col("signal"), t),
-        "velocidad_categoria": bins.speed_bin(F.col("speed"), t),
-        "bateria_categoria": bins.battery_bin(F.col("battery"), t),
-        "compania": bins.operator_class(F.col("sim_operator")),
+        "altitud_categoria": bins.altitude_bin("altitude", t),
+        "cobertura_categoria": bins.coverage_bin("signal", t),
+        "velocidad_categoria": bins.speed_bin("speed", t),
+        "bateria_categoria": bins.battery_bin("battery", t),
+        "compania": bins.operator_class("sim_operator"),
     }
 
 
 def output_shape(labelled: DataFrame) -> DataFrame:
     """Output names and order; columns the output does not have are left behind."""
     source = {c: PASS_THROUGH.get(c, c) for c in OUTPUT_COLUMNS}
-    return labelled.select(*[F.col(f"`{s}`").alias(c) for c, s in source.items()])
+    return labelled.selectExpr(*[f"`{s}` AS {c}" for c, s in source.items()])
 
 
 def fill_labels(df: DataFrame) -> DataFrame:
@@ -44,5 +43,7 @@ def label_pings(
     pings: DataFrame, index: ZoneIndex, t: Thresholds = DEFAULT_THRESHOLDS, **join_options
 ) -> DataFrame:
     """Zone and categories for every ping, in the output schema."""
-    zoned = with_zone(pings, index, **join_options)
-    return fill_labels(output_shape(zoned.withColumns(category_columns(t))))
+    # Below the join the categories share its generated code; the zone label's
+    # array functions are interpreted and would take them along.
+    binned = pings.withColumns(category_columns(t))
+    return fill_labels(output_shape(with_zone(binned, index, **join_options)))

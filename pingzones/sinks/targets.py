@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,13 +73,9 @@ class PathTarget(Target):
     schema: object = OUTPUT_SCHEMA
 
     def exists(self) -> bool:
-        try:
-            self.read()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return False
-        return True
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(sc._jsc.hadoopConfiguration()).exists(path)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)

@@ -38,15 +38,15 @@ def zone_name(name: Column, zona: Column) -> Column:
 
 def zones_from_features(features: DataFrame) -> DataFrame:
     """Zone table from columns ``ord, properties, geometry``."""
-    kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
-    rings = F.when(kind == "Polygon", F.from_json(text, _RING_LIST)).when(
-        kind == "MultiPolygon", F.flatten(F.from_json(text, f"array<{_RING_LIST}>"))
-    )
-    none = F.array().cast(f"array<{EDGE_TYPE}>")
+    rings = f"""CASE geometry.type
+        WHEN 'Polygon' THEN from_json(geometry.coordinates, '{_RING_LIST}')
+        WHEN 'MultiPolygon' THEN flatten(from_json(geometry.coordinates, 'array<{_RING_LIST}>'))
+        END"""
+    none = f"CAST(array() AS array<{EDGE_TYPE}>)"
     with_edges = features.select(
         F.col("ord").cast("bigint").alias("ord"),
         zone_name(F.col("properties.name"), F.col("properties.zona")).alias("name"),
-        F.coalesce(ring_edges(rings), none).alias("edges"),
+        F.expr(f"coalesce({ring_edges(rings)}, {none})").alias("edges"),
     )
     # Rings are closed, so the first ends of the edges are all the vertices.
     return with_edges.select(
