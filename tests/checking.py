@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 from pathlib import Path
 
@@ -39,3 +41,11 @@ def assert_same(df, con: duckdb.DuckDBPyConnection, sql: str) -> int:
     differing = [(a, e) for a, e in zip(actual, expected) if a != e]
     assert not differing, differing[:3]
     return len(actual)
+
+
+def plan_text(df) -> str:
+    """The physical plan, in full."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -19,6 +20,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ping-warehouse-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
