@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pingzones.operators.shared_folder import ensure_checkpoint_dir
+from pingzones.operators.shared_folder import new_folder
 
 # monotonically_increasing_id keeps the position within a partition in its low bits.
 _POSITION_BITS = 33
@@ -20,14 +20,15 @@ def with_row_index(rows: DataFrame, out: str, order_by: list[str] | None = None)
     """Number the rows 0, 1, 2, ... without sending them through one task.
 
     Each partition numbers its own rows; adding the sizes of the partitions
-    before it makes the numbers consecutive.  The rows are checkpointed with
-    their place first, so that a lost executor cannot renumber some of them.
+    before it makes the numbers consecutive.  The rows are first written with
+    their place to the shared folder, so that a lost executor cannot renumber
+    some of them; counting then reads the place column only.
 
     With ``order_by`` the numbers follow that order.  The range shuffle also
     splits on the place of the row in the input, so a run of equal keys does not
     end up in one partition.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
+    spark = rows.sparkSession
     if order_by:
         keys: list[str | Column] = [*order_by, "_tie"]
         rows = (
@@ -36,12 +37,10 @@ def with_row_index(rows: DataFrame, out: str, order_by: list[str] | None = None)
             .sortWithinPartitions(*keys)
             .drop("_tie")
         )
-    placed = rows.withColumns(
-        {
-            "_part": F.spark_partition_id(),
-            "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)),
-        }
-    ).checkpoint()
+    folder = new_folder(spark, "numbering")
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    rows.withColumns({"_part": F.spark_partition_id(), "_pos": position}).write.parquet(folder)
+    placed = spark.read.parquet(folder)
     # One row per partition of the input, so this ungrouped window stays small.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -20,11 +20,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nobody else uses, for a written intermediate table."""
     return f"{shared_folder(spark)}/pingzones/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

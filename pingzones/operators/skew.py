@@ -23,7 +23,8 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
     counts = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).groupBy(
         *keys
     ).agg(F.count(F.lit(1)).alias("n"))
-    total = df.select(F.count(F.lit(1)).alias("total"))
+    # The same counts summed up: Spark reuses their shuffle, so df is read once.
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     limit = F.greatest(F.lit(rows_per_task), F.ceil(F.col("total") / MAX_HOT_KEYS))
     rows = (
         counts.join(F.broadcast(total))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pingzones.functions.geometry import cross, odd_crossings
 
 CELLS_PER_ZONE = 1024
+ZONES_PER_TASK = 200
 MAX_EDGES_PER_ROW = 50_000
 # Upper estimates of the bytes of one edge, zone entry and cell in a hash table.
 _EDGE_BYTES, _ENTRY_BYTES, _CELL_BYTES = 48, 128, 96
@@ -53,8 +54,12 @@ def default_cell(n: int, area: float, extent: float) -> float:
     return extent / CELLS_PER_ZONE if extent > 0 else 0.01
 
 
-def _zone_cells(zones: DataFrame, cell: float) -> DataFrame:
-    """One row per zone and cell it may touch: ``cx, cy, ord, name, covers, edges``."""
+def _zone_cells(zones: DataFrame, cell: float, tasks: int) -> DataFrame:
+    """One row per zone and cell it may touch: ``cx, cy, ord, name, covers, edges``.
+
+    A zone file is one task's input and one zone may fill most of the grid, so
+    beyond a few zones the work is dealt out by zone and grid row.
+    """
     c = f"{cell!r}D"
     # Covers rounding in floor(x / cell) and in the products of the edge tests.
     slack = f"{cell * 1e-6!r}D"
@@ -81,6 +86,8 @@ def _zone_cells(zones: DataFrame, cell: float) -> DataFrame:
             ),
         )
     )
+    if tasks > 1:
+        rows = rows.repartition(tasks, "ord", "cy")
     cells = rows.selectExpr(
         *("ord", "name", "edges", "cy"),
         f"explode(sequence(floor(x0 / {c}), floor(x1 / {c}))) AS cx",
@@ -113,7 +120,7 @@ def build_zone_index(
     cell = cell or default_cell(s["n"], s["area"], max(s["x1"] - s["x0"], s["y1"] - s["y0"]))
     bounds = (s["x0"], s["x1"], s["y0"], s["y1"])
 
-    entries = _zone_cells(zones, cell).persist()
+    entries = _zone_cells(zones, cell, math.ceil(s["n"] / ZONES_PER_TASK)).persist()
     most = (
         entries.groupBy("cx", "cy")
         .agg(F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("edges"))

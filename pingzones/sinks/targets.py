@@ -61,7 +61,9 @@ class Target:
         """Latest loaded time; None for a missing or empty target."""
         if not self.exists():
             return None
-        return latest_time(self.read()).first()["max_ts"]
+        df = self.read()
+        many = len(df.inputFiles()) >= MANY_FILES
+        return (latest_time_of_files(df) if many else latest_time(df)).first()["max_ts"]
 
 
 @dataclass
@@ -86,13 +88,6 @@ class PathTarget(Target):
     def replace(self, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self.path)
 
-    def high_water_mark(self) -> datetime | None:
-        if not self.exists():
-            return None
-        df = self.read()
-        many = len(df.inputFiles()) >= MANY_FILES
-        return (latest_time_of_files(df) if many else latest_time(df)).first()["max_ts"]
-
 
 @dataclass
 class TableTarget(Target):

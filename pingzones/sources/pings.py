@@ -69,13 +69,19 @@ def read_pages(
     multi_line: bool = True,
     zone: str = DEFAULT_ZONE,
     keep_bad_rows: bool = False,
+    landed_after: str | None = None,
 ) -> DataFrame:
     """Landed JSON pages: arrays of objects, or one object a line.
 
     Keys bind by name in any order and nulls stay null.  A row that does not fit
     fails the read, unless ``keep_bad_rows`` asks for it in a text column.
+    ``landed_after`` (a time as text) leaves out files last changed before it,
+    which a later cycle need not read again.
     """
-    raw = _page_reader(spark.read, multi_line, keep_bad_rows).json(path)
+    reader = _page_reader(spark.read, multi_line, keep_bad_rows)
+    if landed_after:
+        reader = reader.option("modifiedAfter", landed_after)
+    raw = reader.json(path)
     return _typed_pages(raw, zone, keep_bad_rows)
 
 
