@@ -63,9 +63,6 @@ def with_next_ids(
     Too many rows for the id type raise an overflow error under ANSI mode.
     """
     kind = existing.schema[column].dataType
+    first = max_id(existing, column).first()["max_id"] + 1
     numbered = with_row_index(rows, "_index", order_by)
-    return (
-        numbered.join(F.broadcast(max_id(existing, column)))
-        .withColumn(column, (F.col("max_id").cast("bigint") + 1 + F.col("_index")).cast(kind))
-        .drop("max_id", "_index")
-    )
+    return numbered.withColumn(column, (F.col("_index") + first).cast(kind)).drop("_index")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 2_000_000
 # ... but from no less than this share of all rows, so hot keys stay countable.
 MAX_HOT_KEYS = 10_000
+# Largest hash table that one task of a shuffled join is asked to hold.
+HASH_TABLE_BYTES = 64 << 20
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -20,15 +22,16 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
     the rows, so at most MAX_HOT_KEYS rows reach the driver; fixing them there
     makes both join sides use the same salts even if the input is read again.
     """
-    counts = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).groupBy(
-        *keys
-    ).agg(F.count(F.lit(1)).alias("n"))
+    counts = (
+        df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     # The same counts summed up: Spark reuses their shuffle, so df is read once.
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    limit = F.greatest(F.lit(rows_per_task), F.ceil(F.col("total") / MAX_HOT_KEYS))
+    share = F.ceil(F.coalesce(F.sum("n"), F.lit(0)) / MAX_HOT_KEYS)
+    limit = counts.agg(F.greatest(F.lit(rows_per_task), share).alias("limit")).scalar()
     rows = (
-        counts.join(F.broadcast(total))
-        .filter(F.col("n") > limit)
+        counts.filter(F.col("n") > limit)
         .select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("salts"))
         .collect()
     )
@@ -45,14 +48,22 @@ def row_spread(df: DataFrame, buckets: Column) -> Column:
 
 
 def salted_left_join(
-    left: DataFrame, right: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    right_bytes: int | None = None,
 ) -> DataFrame:
     """``left`` left-joined to ``right``, which has at most one row per key.
 
     Only hot keys are salted, and only their right rows are repeated, once per
-    salt.  Left rows without a key cannot match; they get a random-looking key
-    of their own instead of meeting in the null partition.
+    salt.  Left rows without a key cannot match; their salt spreads them instead
+    of letting them meet in one partition.  When ``right_bytes`` shows that the
+    right side's share of a partition fits in memory, a hash table is built from
+    it and the left side need not be sorted.
     """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashable = right_bytes is not None and right_bytes / parts <= HASH_TABLE_BYTES
     hot = F.broadcast(hot_keys(left, keys, rows_per_task))
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     spread = left.withColumn("_spread", row_spread(left, F.lit(1 << 30)))
@@ -68,7 +79,7 @@ def salted_left_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
         .drop("salts")
     )
-    on = [salted[k].eqNullSafe(repeated[k]) for k in keys] + [salted["_salt"] == repeated["_salt"]]
-    joined = salted.join(repeated.hint("shuffle_merge"), on, "left")
+    on = [salted[k] == repeated[k] for k in [*keys, "_salt"]]
+    joined = salted.join(repeated.hint("shuffle_hash" if hashable else "merge"), on, "left")
     extra = [c for c in right.columns if c not in keys]
     return joined.select(*[salted[c] for c in left.columns], *[repeated[c] for c in extra])

@@ -21,6 +21,10 @@ def _first_inside(near: str, lon: str, lat: str) -> str:
                              THEN named_struct('ord', z.ord, 'name', z.name) END))"""
 
 
+def fits_broadcast(index: ZoneIndex, broadcast_limit: int = BROADCAST_LIMIT) -> bool:
+    return index.bytes_estimate <= broadcast_limit
+
+
 def with_zone(
     pings: DataFrame,
     index: ZoneIndex,
@@ -50,7 +54,7 @@ def with_zone(
             for cell, c in (("_cx", lon), ("_cy", lat))
         }
     )
-    small = index.bytes_estimate <= broadcast_limit
+    small = fits_broadcast(index, broadcast_limit)
     winners = []
     for k, level in enumerate(index.levels):
         near, covering = f"_near{k}", f"_covering{k}"
@@ -60,7 +64,9 @@ def with_zone(
         if small:
             located = located.join(F.broadcast(side), ["_cx", "_cy"], "left")
         else:
-            located = salted_left_join(located, side, ["_cx", "_cy"], rows_per_task)
+            located = salted_left_join(
+                located, side, ["_cx", "_cy"], rows_per_task, index.bytes_estimate
+            )
         hit = f"CASE WHEN {near} IS NOT NULL THEN {_first_inside(near, lon, lat)} END"
         if len(index.levels) == 1:
             # Every near zone precedes the covering one.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from pingzones.functions import bins
 from pingzones.operators.zone_index import ZoneIndex
-from pingzones.operators.zone_join import with_zone
+from pingzones.operators.zone_join import BROADCAST_LIMIT, fits_broadcast, with_zone
 from pingzones.schema import (
     DEFAULT_THRESHOLDS,
     LABEL_COLUMNS,
@@ -40,10 +40,20 @@ def fill_labels(df: DataFrame) -> DataFrame:
 
 
 def label_pings(
-    pings: DataFrame, index: ZoneIndex, t: Thresholds = DEFAULT_THRESHOLDS, **join_options
+    pings: DataFrame,
+    index: ZoneIndex,
+    t: Thresholds = DEFAULT_THRESHOLDS,
+    broadcast_limit: int = BROADCAST_LIMIT,
+    **join_options,
 ) -> DataFrame:
     """Zone and categories for every ping, in the output schema."""
-    # Below the join the categories share its generated code; the zone label's
-    # array functions are interpreted and would take them along.
-    binned = pings.withColumns(category_columns(t))
-    return fill_labels(output_shape(with_zone(binned, index, **join_options)))
+    categories = category_columns(t)
+    join_options["broadcast_limit"] = broadcast_limit
+    if fits_broadcast(index, broadcast_limit):
+        # Below the join the categories share its generated code; the zone label's
+        # array functions are interpreted and would take them along.
+        labelled = with_zone(pings.withColumns(categories), index, **join_options)
+    else:
+        # Above a shuffle they do not widen the shuffled rows.
+        labelled = with_zone(pings, index, **join_options).withColumns(categories)
+    return fill_labels(output_shape(labelled))

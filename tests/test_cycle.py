@@ -121,4 +121,4 @@ def test_label_plan_prunes_columns(pings, index):
 
 def test_large_index_is_not_broadcast(pings, index):
     text = plan_text(label_pings(pings, index, broadcast_limit=0))
-    assert "SortMergeJoin" in text and "BroadcastNestedLoopJoin" not in text
+    assert "ShuffledHashJoin" in text and "BroadcastNestedLoopJoin" not in text

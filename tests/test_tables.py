@@ -271,9 +271,10 @@ def test_target_life(spark, tmp_path, kind):
 
 
 @pytest.mark.parametrize("order", [[3, 1, 2], [1, 2, 3], [None, 2], [2, None], [None]])
-def test_mark_of_many_files(spark, tmp_path, monkeypatch, order):
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_mark_of_many_files(spark, tmp_path, monkeypatch, order, kind):
     monkeypatch.setattr(targets, "MANY_FILES", 1)
-    target = targets.PathTarget(spark, str(tmp_path / "t"))
+    target = make_target(kind, spark, tmp_path)
     for day in order:
         target.append(labelled(spark, [None if day is None else T0 + timedelta(days=day)]))
     known = [d for d in order if d is not None]
