@@ -31,9 +31,6 @@ def parse_coordinate(c: Column) -> Column:
     )
 
 
-_HAS_OFFSET = r"(?i)\d\s*(z|[+-]\d{2}(:?\d{2})?)$"
-
-
 def parse_iso_timestamp(c: Column, zone: str = DEFAULT_ZONE) -> Column:
     """ISO-8601 text to a time without zone; null when it cannot be read.
 
@@ -42,14 +39,12 @@ def parse_iso_timestamp(c: Column, zone: str = DEFAULT_ZONE) -> Column:
     session time zone.
     """
     text = F.trim(c)
-    # Only a time of day can carry an offset: "2024-01-15" ends in "-15" but has none.
-    has_offset = text.rlike(r"[T ]\d") & text.rlike(_HAS_OFFSET)
-    micros = F.unix_micros(F.try_to_timestamp(text))
-    utc_clock = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=(micros.cast("decimal(20,0)") / F.lit(1000000).cast("decimal(10,0)")).cast(
-            "decimal(18,6)"
-        )
-    )
+    # What follows the ten characters of the date and the separator.
+    clock = F.upper(F.substring(text, 12, 64))
+    has_offset = clock.contains("+") | clock.contains("-") | clock.endswith("Z")
+    micros = F.unix_micros(text.try_cast("timestamp"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc_clock = F.timestamp_add("MICROSECOND", micros, epoch)
     return F.when(
         has_offset, F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_clock)
     ).otherwise(text.try_cast("timestamp_ntz"))

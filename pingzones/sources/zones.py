@@ -7,7 +7,7 @@ Columns: ``ord bigint, name string, x0, x1, y0, y1 double, edges array<edge>``.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pingzones.functions.geometry import EDGE_TYPE, ring_edges
@@ -72,10 +72,12 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_zones(spark)
-    files = sorted(documents.inputFiles())
     located = documents.select("features", F.col("_metadata.file_path").alias("file"))
-    if len(files) > 1:
-        ranks = spark.createDataFrame(list(enumerate(files)), "file_rank bigint, file string")
+    if len(documents.inputFiles()) > 1:
+        # File names only, so this ungrouped window stays small.
+        ranks = located.select("file").distinct()
+        rank = F.row_number().over(Window.orderBy("file")) - 1
+        ranks = ranks.select("file", rank.cast("bigint").alias("file_rank"))
         located = located.join(ranks, "file")
     else:
         located = located.withColumn("file_rank", F.lit(0).cast("bigint"))

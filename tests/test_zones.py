@@ -75,6 +75,22 @@ def test_file_gives_same_zones_as_rows(spark, geojson):
     assert [len(r["edges"]) for r in read] == [4, 6, 8, 6, 4]
 
 
+def test_folder_is_read_in_file_order(spark, tmp_path):
+    for file, names in (("b.geojson", ["c", "d"]), ("a.geojson", ["a", "b"])):
+        features = [
+            {"properties": {"name": n}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1]]]}}
+            for n in names
+        ]
+        (tmp_path / file).write_text(json.dumps({"features": features}))
+    zones = read_zones(spark, str(tmp_path)).orderBy("ord").collect()
+    assert [(r["ord"], r["name"]) for r in zones] == [
+        (0, "a"),
+        (1, "b"),
+        (1 << 32, "c"),
+        ((1 << 32) + 1, "d"),
+    ]
+
+
 def test_missing_or_unreadable_file_gives_no_zones(spark, tmp_path):
     assert read_zones(spark, str(tmp_path / "none.geojson")).count() == 0
     broken = tmp_path / "broken.geojson"
