@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pingzones.operators.shared_folder import new_folder
+from pingzones.operators.skew import row_spread
 
 # monotonically_increasing_id keeps the position within a partition in its low bits.
 _POSITION_BITS = 33
@@ -25,14 +26,14 @@ def with_row_index(rows: DataFrame, out: str, order_by: list[str] | None = None)
     some of them; counting then reads the place column only.
 
     With ``order_by`` the numbers follow that order.  The range shuffle also
-    splits on the place of the row in the input, so a run of equal keys does not
-    end up in one partition.
+    splits on a hash of the row and its input partition, so a run of equal keys,
+    or of copies, does not end up in one partition.
     """
     spark = rows.sparkSession
     if order_by:
         keys: list[str | Column] = [*order_by, "_tie"]
         rows = (
-            rows.withColumn("_tie", F.monotonically_increasing_id())
+            rows.withColumn("_tie", row_spread(rows, F.lit(1 << 30)))
             .repartitionByRange(*keys)
             .sortWithinPartitions(*keys)
             .drop("_tie")

@@ -54,15 +54,16 @@ def default_cell(n: int, area: float, extent: float) -> float:
     return extent / CELLS_PER_ZONE if extent > 0 else 0.01
 
 
-def _zone_cells(zones: DataFrame, cell: float, tasks: int) -> DataFrame:
+def _zone_cells(zones: DataFrame, cell: float, reach: float, tasks: int) -> DataFrame:
     """One row per zone and cell it may touch: ``cx, cy, ord, name, covers, edges``.
 
     A zone file is one task's input and one zone may fill most of the grid, so
-    beyond a few zones the work is dealt out by zone and grid row.
+    beyond a few zones the work is dealt out by zone and grid row.  ``reach`` is
+    the largest coordinate.
     """
     c = f"{cell!r}D"
     # Covers rounding in floor(x / cell) and in the products of the edge tests.
-    slack = f"{cell * 1e-6!r}D"
+    slack = f"{max(cell * 1e-6, reach * 1e-13)!r}D"
     west, east = f"(cx * {c} - {slack})", f"((cx + 1) * {c} + {slack})"
     south, north = f"(cy * {c} - {slack})", f"((cy + 1) * {c} + {slack})"
     corners = ", ".join(cross("e", x, y) for x in (west, east) for y in (south, north))
@@ -120,7 +121,8 @@ def build_zone_index(
     cell = cell or default_cell(s["n"], s["area"], max(s["x1"] - s["x0"], s["y1"] - s["y0"]))
     bounds = (s["x0"], s["x1"], s["y0"], s["y1"])
 
-    entries = _zone_cells(zones, cell, math.ceil(s["n"] / ZONES_PER_TASK)).persist()
+    reach = max(abs(b) for b in bounds)
+    entries = _zone_cells(zones, cell, reach, math.ceil(s["n"] / ZONES_PER_TASK)).persist()
     most = (
         entries.groupBy("cx", "cy")
         .agg(F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("edges"))

@@ -148,14 +148,17 @@ def created_column_types(df: DataFrame) -> str:
 
 @dataclass
 class JdbcTarget(Target):
-    """A database table written over ``connections`` parallel connections."""
+    """A database table written over ``connections`` parallel connections.
+
+    Without ``catalog_name``, the name of the table in a JDBC catalog, the table
+    is taken to exist.
+    """
 
     spark: SparkSession
     url: str
     table: str
     properties: dict[str, str] = field(default_factory=dict)
     connections: int = 16
-    # Name of the same table in a JDBC catalog, for asking whether it exists.
     catalog_name: str | None = None
 
     def _query(self, sql: str) -> DataFrame:

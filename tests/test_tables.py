@@ -154,6 +154,13 @@ def test_page_mark(spark, tmp_path):
     assert [r["id"] for r in rows] == [1]
 
 
+def test_pages_landed_before_are_left_out(spark, tmp_path):
+    (tmp_path / "page.json").write_text(PAGE)
+    for day, n in (("2000-01-01T00:00:00", 2), ("2999-01-01T00:00:00", 0)):
+        options = {"path": str(tmp_path), "landed_after": day}
+        assert source.read_pings(spark, "pages", **options).count() == n
+
+
 BAD_LINES = [
     '{"id": 1, "timestamp": "2024-01-01T10:00:00"}',
     '{"id": "x", "timestamp": "2024-01-01T10:00:00"}',

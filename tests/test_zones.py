@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import random
 
 import pytest
@@ -153,6 +154,43 @@ def test_cell_size_does_not_matter(spark, cell):
     index.release()
 
 
+def random_zones(spark, rnd, n=30):
+    """Star-shaped rings, some with a hole or a second part, on a coarse lattice."""
+
+    def ring(cx, cy, r):
+        spokes = [(k, rnd.uniform(0.3, 1.0) * r) for k in range(rnd.randint(3, 9))]
+        turn = 2 * math.pi / len(spokes)
+        corners = [(cx + q * math.cos(k * turn), cy + q * math.sin(k * turn)) for k, q in spokes]
+        # Lattice corners make horizontal, vertical and shared edges likely.
+        return [[round(x * 8) / 8, round(y * 8) / 8] for x, y in corners]
+
+    rows = []
+    for i in range(n):
+        cx, cy, r = rnd.uniform(-5, 5), rnd.uniform(-5, 5), rnd.uniform(0.5, 3)
+        polygon = [ring(cx, cy, r)] + ([ring(cx, cy, r / 4)] if i % 3 == 0 else [])
+        parts = [polygon] + ([[ring(cx + 7, cy, r)]] if i % 5 == 0 else [])
+        rows.append((i, (f"zone {i}", None), ("MultiPolygon", str(parts))))
+    return zones_from_features(spark.createDataFrame(rows, derived.FEATURE_DDL))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_zones(spark, seed):
+    """Corners, edge middles and random points against the linear scan."""
+    rnd = random.Random(seed)
+    zones = random_zones(spark, rnd).cache()
+    places = [(rnd.uniform(-9, 15), rnd.uniform(-9, 9)) for _ in range(1500)]
+    for r in zones.collect():
+        for ax, ay, bx, by in r["edges"]:
+            places += [(ax, ay), ((ax + bx) / 2, (ay + by) / 2)]
+    pings = points(spark, [(i, y, x) for i, (x, y) in enumerate(places)])
+    wanted = brute_force(zones, pings)
+    assert len(set(wanted)) > 10
+    for cell, max_edges in ((None, 50_000), (1.0, 20), (0.125, 50_000)):
+        index = build_zone_index(zones, cell, max_edges)
+        assert labels(with_zone(pings, index)) == wanted
+        index.release()
+
+
 @pytest.mark.parametrize("options", [{}, {"broadcast_limit": 0}, {"broadcast_limit": 0, "rows_per_task": 50}])
 @pytest.mark.parametrize("max_edges", [50_000, 8])
 def test_many_zones_every_path(spark, sf, max_edges, options):
