@@ -1,13 +1,19 @@
-"""Where intermediate results go: the shared folder the cluster names."""
+"""Where intermediate tables go: the shared folder the cluster names."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _test_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"pingzones-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a temporary folder only for a local test session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,11 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="pingzones-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _test_folder(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nobody else uses, for a written intermediate table."""
-    return f"{shared_folder(spark)}/pingzones/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/pingzones/{application}/{label}-{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pingzones.catalog import derived
 from pingzones.operators import numbering, paging
+from pingzones.operators.shared_folder import new_folder, shared_folder
 from pingzones.schema import OUTPUT_SCHEMA, PING_COLUMNS, PING_SCHEMA
 from pingzones.sinks import targets
 from pingzones.sources import pings as source
@@ -303,3 +304,19 @@ def test_jdbc_target_options(spark):
     conf = targets.jdbc_catalog_conf("pg", "jdbc:x", "org.postgresql.Driver", user="u")
     assert conf["spark.sql.catalog.pg.pushDownAggregate"] == "true"
     assert conf["spark.sql.catalog.pg.user"] == "u"
+
+
+# --- folder for intermediate tables ----------------------------------------
+
+
+def test_shared_folder():
+    session = MagicMock()
+    session.conf.get.return_value = "s3a://bucket/state/"
+    assert shared_folder(session) == "s3a://bucket/state"
+    session.conf.get.return_value = None
+    session.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    session.sparkContext.master, session.sparkContext.applicationId = "local[2]", "app"
+    assert shared_folder(session) == shared_folder(session)
+    assert new_folder(session, "x") != new_folder(session, "x")
