@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -107,10 +107,18 @@ def read_csv(spark: SparkSession, path: str, zone: str = DEFAULT_ZONE) -> DataFr
 
     The header is taken from the first file and checked against every other one,
     so files whose columns are ordered differently fail instead of being misread.
+    Whole numbers may be written with a fraction of zero (``75.0``), as exports
+    of columns with gaps often are; any other fraction fails.
     """
     header = spark.read.option("header", True).csv(path).columns
     types = {f.name: f.dataType for f in PAGE_SCHEMA}
-    schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    whole = [c for c in header if types.get(c) == T.IntegerType()]
+    schema = T.StructType(
+        [
+            T.StructField(c, T.DoubleType() if c in whole else types.get(c, T.StringType()))
+            for c in header
+        ]
+    )
     raw = (
         spark.read.schema(schema)
         .option("header", True)
@@ -118,7 +126,13 @@ def read_csv(spark: SparkSession, path: str, zone: str = DEFAULT_ZONE) -> DataFr
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    return conform(_typed_pages(raw, zone, False))
+    return conform(_typed_pages(raw, zone, False).withColumns({c: _whole_number(c) for c in whole}))
+
+
+def _whole_number(name: str) -> Column:
+    c = F.col(name)
+    failure = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), c.cast("string")))
+    return F.when(c.isNull() | (c == F.floor(c)), c.cast("int")).otherwise(failure.cast("int"))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -199,6 +199,18 @@ def test_csv_by_name(spark, tmp_path):
         source.read_pings(spark, "csv", path=str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize(("text", "wanted"), [("75.0", 75), ("-3", -3), ("", None), ("75.5", "fails")])
+def test_csv_whole_numbers(spark, tmp_path, text, wanted):
+    line = ",".join({"id": "1", "battery": text}.get(c, "") for c in PING_COLUMNS)
+    (tmp_path / "a.csv").write_text(",".join(PING_COLUMNS) + "\n" + line + "\n")
+    df = source.read_csv(spark, str(tmp_path))
+    if wanted == "fails":
+        with pytest.raises(Exception, match="not a whole number"):
+            df.collect()
+    else:
+        assert df.first()["battery"] == wanted and df.schema == PING_SCHEMA
+
+
 def test_table_source_and_drop_missing_id(spark):
     timed(spark, [(1, T0), (None, T0)]).createOrReplaceTempView("some_pings")
     df = source.read_pings(spark, "table", name="some_pings")
