@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pingzones.functions.geometry import cross, odd_crossings
 
 CELLS_PER_ZONE = 1024
+MIN_CELLS_PER_ZONE = 16
+MAX_ENTRIES = 64_000_000
 ZONES_PER_TASK = 200
 MAX_EDGES_PER_ROW = 50_000
 # Upper estimates of the bytes of one edge, zone entry and cell in a hash table.
@@ -48,10 +50,11 @@ class ZoneIndex:
 
 
 def default_cell(n: int, area: float, extent: float) -> float:
-    """Cell side giving about CELLS_PER_ZONE cells for the average zone box."""
+    """Cell side giving the average zone box many cells, fewer if there are many zones."""
+    per_zone = max(MIN_CELLS_PER_ZONE, min(CELLS_PER_ZONE, MAX_ENTRIES // n))
     if area > 0:
-        return math.sqrt(area / (n * CELLS_PER_ZONE))
-    return extent / CELLS_PER_ZONE if extent > 0 else 0.01
+        return math.sqrt(area / (n * per_zone))
+    return extent / per_zone if extent > 0 else 0.01
 
 
 def _zone_cells(zones: DataFrame, cell: float, reach: float, tasks: int) -> DataFrame:
@@ -123,12 +126,12 @@ def build_zone_index(
 
     reach = max(abs(b) for b in bounds)
     entries = _zone_cells(zones, cell, reach, math.ceil(s["n"] / ZONES_PER_TASK)).persist()
-    most = (
-        entries.groupBy("cx", "cy")
-        .agg(F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("edges"))
-        .agg(F.max("edges"))
-        .first()[0]
-    )
+    most = _most_edges(entries)
+    if most > max_edges:
+        # Crowded cells: first leave out what cannot win, however much that is.
+        everything, entries = entries, _reachable(entries).persist()
+        most = _most_edges(entries)
+        everything.unpersist()
     n_levels = max(1, math.ceil(most / max_edges))
     border = ~F.col("covers")
     spread = entries.withColumn(
@@ -148,6 +151,22 @@ def build_zone_index(
     return ZoneIndex(cell, bounds, levels, size)
 
 
+def _most_edges(entries: DataFrame) -> int:
+    """Edges of the most crowded cell, from sums combined map-side."""
+    edges = F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("edges")
+    return entries.groupBy("cx", "cy").agg(edges).agg(F.max("edges")).first()[0] or 0
+
+
+def _reachable(entries: DataFrame) -> DataFrame:
+    """Entries up to the first zone that covers their cell."""
+    covering = entries.filter("covers").groupBy("cx", "cy").agg(F.min("ord").alias("first"))
+    return (
+        entries.join(covering, ["cx", "cy"], "left")
+        .filter("first IS NULL OR ord <= first")
+        .drop("first")
+    )
+
+
 def _level(entries: DataFrame) -> DataFrame:
     """One row per cell: the first zone covering it and the border zones before that one."""
     grouped = entries.groupBy("cx", "cy").agg(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pingzones.catalog import derived
 from pingzones.operators.skew import hot_keys, salted_left_join
-from pingzones.operators.zone_index import build_zone_index
+from pingzones.operators.zone_index import build_zone_index, default_cell
 from pingzones.operators.zone_join import with_zone
 from pingzones.sources.zones import empty_zones, read_zones, zones_from_features
 
@@ -219,6 +219,30 @@ def test_covering_zone_needs_no_edges(spark):
     assert labels(with_zone(pings, index)) == ["copy 0", "copy 0", "Fuera_de_zona", "Fuera_de_zona"]
 
 
+def test_crowded_cells_keep_only_what_can_win(spark):
+    """Zone 0 covers the middle cell, so the many borders behind it need no levels."""
+    cover = "[[[0,0],[9,0],[9,9],[0,9]]]"
+    rows = [(0, ("cover", None), ("Polygon", cover))]
+    rows += [
+        (i, (f"z{i}", None), ("Polygon", f"[[[4,4],[4.{i},4],[4.{i},5],[4,5]]]")) for i in range(1, 90)
+    ]
+    zones = zones_from_features(spark.createDataFrame(rows, derived.FEATURE_DDL))
+    index = build_zone_index(zones, 3.0, max_edges=50)
+    assert len(index.levels) == 1
+    middle = index.levels[0].filter("cx = 1 AND cy = 1").first()
+    assert middle["near"] is None and middle["covering"]["name"] == "cover"
+    assert labels(with_zone(points(spark, [(0, 4.5, 4.05), (1, 9.5, 1.0)]), index)) == [
+        "cover",
+        "Fuera_de_zona",
+    ]
+
+
+def test_cell_size_follows_the_number_of_zones():
+    assert default_cell(4, 4.0, 2.0) == 1 / 32
+    assert default_cell(10_000_000, 10_000_000.0, 2.0) == 1 / 4
+    assert default_cell(1, 0.0, 0.0) > 0
+
+
 def test_index_rows_stay_bounded(spark):
     """Many zones whose borders share a cell are spread over levels."""
     rows = [
