@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from checking import assert_same, connect
+from pingzones.catalog.oracles import ORACLES
+from pingzones.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +16,12 @@ def con(sf):
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert ORACLES.keys() <= entry_points.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf, con, name):
     df = entry_points.queries()[name](spark, sf)
     assert assert_same(df, con, entry_points.oracle_sql()[name]) > 0
