@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingzones.llm import mixing, sharding
+from pingzones.llm import mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,11 +31,16 @@ def op7_byte_shards(spark, sf_dir):
     )
 
 
+def op8_simhash_groups(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_source_mix,
         op7_byte_shards,
+        op8_simhash_groups,
     )
 }
 
