@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pingzones.llm import mixing, sharding
+from pingzones.llm import language, mixing, sharding, simhash
 from pingzones.llm.catalog import SHARDS, table
 from pingzones.llm.common import stored
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; those without a letter or in doubt go."""
+    return language.in_known_language(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    return simhash.one_of_each_group(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of the sources takes it."""
     return mixing.mixed_documents(docs)
@@ -20,6 +30,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", identify_language),
+    ("SimHash near-dedup", drop_near_duplicates),
     ("mixing sources to target weights", mix_sources),
     ("sharding", shard),
 ]

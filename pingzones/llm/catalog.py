@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingzones.llm import mixing, sharding, simhash
+from pingzones.llm import language, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,12 @@ def op1_source_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies")
 
 
+def op5_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    judged = language.identify(docs.withColumn("held_out", language.held_out()), language.train(docs), carry=["doc_id", "held_out"])
+    return judged.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_byte_shards(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
     # Only what the digest needs goes along; the texts stay where they are.
@@ -39,6 +45,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_source_mix,
+        op5_language,
         op7_byte_shards,
         op8_simhash_groups,
     )
