@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pingzones.llm.common import row_hash, stored, uniform, words
 
 # Documents that one task rounds one after the other.
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 1_000
 # Blocks whose remainders meet in one task of the next level.
 FAN_IN = 1_000
 # Fractions nearer to a whole number than this are whole.
