@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pingzones.llm import language, mixing, sharding, simhash
+from pingzones.llm import decontaminate, language, mixing, sharding, simhash
 from pingzones.llm.catalog import SHARDS, table
 from pingzones.llm.common import stored
 
@@ -19,6 +19,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.one_of_each_group(docs)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark window occurs."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of the sources takes it."""
     return mixing.mixed_documents(docs)
@@ -32,6 +37,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language ID", identify_language),
     ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", decontaminated),
     ("mixing sources to target weights", mix_sources),
     ("sharding", shard),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingzones.llm import language, mixing, sharding, simhash
+from pingzones.llm import decontaminate, language, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op1_source_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies")
 
 
+def op4_benchmark_index(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     judged = language.identify(docs.withColumn("held_out", language.held_out()), language.train(docs), carry=["doc_id", "held_out"])
@@ -45,10 +49,40 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_source_mix,
+        op4_benchmark_index,
         op5_language,
         op7_byte_shards,
         op8_simhash_groups,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_benchmark_index": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        b AS (
+            SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        starts AS (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM b WHERE len(w) > 0),
+        windows AS (SELECT DISTINCT item, w[s:s + 9] AS p, len(w[s:s + 9]) AS n FROM starts),
+        lengths AS (SELECT DISTINCT n FROM windows),
+        places AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lengths WHERE len(w) >= n),
+        found AS (
+            SELECT r, s, places.n, item FROM places JOIN windows
+            ON windows.n = places.n AND windows.p = w[s:s + places.n - 1]),
+        hit AS (
+            SELECT r, count(DISTINCT k) AS n_hit
+            FROM (SELECT r, unnest(range(s, s + n)) AS k FROM found) GROUP BY r),
+        listed AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+            coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+            n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)""",
+}
