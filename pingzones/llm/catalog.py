@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingzones.llm import decontaminate, language, mixing, sharding, simhash
+from pingzones.llm import decontaminate, language, mixing, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,10 @@ def op8_simhash_groups(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_owners(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
         op5_language,
         op7_byte_shards,
         op8_simhash_groups,
+        op9_secret_owners,
     )
 }
 
