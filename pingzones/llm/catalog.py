@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingzones.llm import decontaminate, language, mixing, secrets, sharding, simhash
+from pingzones.llm import decontaminate, language, mixing, secrets, sharding, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,11 @@ def op5_language(spark, sf_dir):
     return judged.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_ball_tree_topk(spark, sf_dir):
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"), 64.0)
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
 def op7_byte_shards(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
     # Only what the digest needs goes along; the texts stay where they are.
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
         op1_source_mix,
         op4_benchmark_index,
         op5_language,
+        op6_ball_tree_topk,
         op7_byte_shards,
         op8_simhash_groups,
         op9_secret_owners,
@@ -62,6 +68,18 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_ball_tree_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 20""",
     "op4_benchmark_index": r"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
