@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingzones.llm import decontaminate, language, mixing, secrets, sharding, simhash, topk
+from pingzones.llm import decontaminate, language, mixing, quality, secrets, sharding, simhash, topk, urls
+from pingzones.llm.url_labels import labelled_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+# (host, path, verdict) of the URL rules.
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +31,17 @@ def op1_source_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies")
 
 
+def op2_url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    labelled = spark.createDataFrame(labelled_urls(), "url string, block int")
+    return urls.judge(table(spark, sf_dir, "pages"), rules, labelled)
+
+
+def op3_site_quality(spark, sf_dir):
+    docs, labels, pages = (table(spark, sf_dir, t) for t in ("documents", "labels", "pages"))
+    return quality.classify(docs, labels, pages)
+
+
 def op4_benchmark_index(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +78,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_source_mix,
+        op2_url_filter,
+        op3_site_quality,
         op4_benchmark_index,
         op5_language,
         op6_ball_tree_topk,
