@@ -22,7 +22,8 @@ from pingzones.llm.urls import host_and_path
 # Labelled documents that the classifier learns from: those of lowest hash.
 MAX_LABELLED = 20_000
 WORD_FEATURES = 1 << 16
-REGULARISATION = 0.02
+# An absolute penalty, which leaves the few words and shapes that tell.
+REGULARISATION = 0.002
 # Bounds of the number of documents that a prior weighs as much as.
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 10_000.0
 # Probabilities stay this far from 0 and 1 in odds.
@@ -74,7 +75,7 @@ def document_scores(docs: DataFrame, labels: DataFrame, text: str, id_: str, sit
     sample = stored(rows.join(F.broadcast(chosen), "doc_id").select("_text", "label"), "quality-sample")
     learned = _features(sample, "_text").select("_features", "label").persist()
     model = LogisticRegression(
-        featuresCol="_features", labelCol="label", regParam=REGULARISATION, maxIter=40
+        featuresCol="_features", labelCol="label", regParam=REGULARISATION, elasticNetParam=1.0, maxIter=40
     ).fit(learned)
     learned.unpersist()
     judged = model.transform(_features(rows, "_text"))
