@@ -30,6 +30,8 @@ MARK = "\x00"
 # executors; words beyond them are what the n-grams are for.
 MAX_WORDS = 200_000
 MAX_GRAMS = 100_000
+# Steps of a frequency's doubling, in the histogram that finds the least one taken.
+STEPS = 16
 # Added to every count.
 SMOOTHING = 0.5
 # A prediction below this is no acceptance.
@@ -78,10 +80,22 @@ def _as_batch(counts: dict[str, Counter]) -> pa.RecordBatch:
 
 
 def _most_frequent(counts: DataFrame, most: int, langs: list[str]) -> tuple[list[str], np.ndarray]:
-    """The ``most`` frequent entries and their counts in each language."""
+    """The frequent entries, ``most`` of them or a little less, and their counts in each language.
+
+    The least frequency comes from a histogram in small steps, so no task sends
+    more than what is taken.
+    """
     per_lang = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)]
     table = counts.groupBy("entry").agg(F.sum("n").alias("n"), *per_lang)
-    rows = table.orderBy(F.desc("n"), "entry").limit(most).drop("n").toPandas()
+    table = stored(table.withColumn("step", F.floor(F.log2("n") * STEPS)), "language-entries")
+    taken, least = 0, None
+    for r in table.groupBy("step").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect():
+        taken += r["n"]
+        if taken > most:
+            break
+        least = r["step"]
+    rows = table.filter(F.lit(False) if least is None else F.col("step") >= least)
+    rows = rows.drop("n", "step").toPandas().sort_values("entry")
     return rows["entry"].tolist(), rows.drop(columns="entry").to_numpy(np.float64).reshape(-1, len(langs))
 
 
