@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingzones.llm import decontaminate, language, mixing, quality, secrets, sharding, simhash, topk, urls
+from pingzones.llm import decontaminate, language, mixing, quality, repeats, secrets, sharding, simhash, topk, urls
 from pingzones.llm.url_labels import labelled_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op9_secret_owners(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_repeated_bytes(spark, sf_dir):
+    cut = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
         op7_byte_shards,
         op8_simhash_groups,
         op9_secret_owners,
+        op10_repeated_bytes,
     )
 }
 
