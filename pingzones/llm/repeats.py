@@ -167,39 +167,32 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 class RunLengthIndex:
-    """Run-compressed transform of a text of pieces, with samples at run ends."""
+    """Run-compressed transform of a text of pieces, with samples at run ends.
 
-    #: Longer than any piece and a match that begins in it need be compared.
-    MOST = 512
+    Every piece ends in a character of its own, so no match reaches over an end
+    and no two suffixes are equal.
+    """
 
     def __init__(self, pieces: list[bytes]):
         sizes = np.array([len(p) + 1 for p in pieces])
         self.starts = np.cumsum(sizes) - sizes
-        self.text = np.zeros(int(sizes.sum()), np.uint16)
-        joined = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
-        self.text[:] = joined
-        self.text += 1
-        self.text[self.starts + sizes - 1] = 0  # a piece's end is below every byte
+        self.text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.uint32) + np.uint32(len(pieces))
+        self.text[self.starts + sizes - 1] = np.arange(len(pieces))
         self.order = self._suffixes()
         before = self.text[self.order - 1]
-        head = np.r_[True, before[1:] != before[:-1]]
-        # The first place of a piece is sampled too, so no stream runs over pieces.
-        head[np.isin(self.order, self.starts)] = True
-        self.runs = np.flatnonzero(head)
+        self.runs = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
+        # Suffixes at the first place of each run, and at the end of the run before.
         self.sampled = self.order[self.runs]
         self.run_ends = np.where(self.runs > 0, self.order[self.runs - 1], -1)
 
     def _suffixes(self) -> np.ndarray:
         """Order of the suffixes, by doubling the number of compared characters."""
-        n = len(self.text)
-        padded = np.concatenate([self.text, np.zeros(4, np.uint16)]).astype(np.uint64)
-        key = sum(padded[k : k + n] << np.uint64(16 * (3 - k)) for k in range(4))
-        length = 4
+        n, length = len(self.text), 2
+        key = (self.text.astype(np.uint64) << np.uint64(32)) | np.r_[self.text[1:], np.uint32(0)]
         while True:
             _, rank = np.unique(key, return_inverse=True)
-            rank = rank.astype(np.int64)
-            if length >= self.MOST // 2 or rank.max() == n - 1:
-                return np.argsort(rank, kind="stable")
+            if rank.max() == n - 1:
+                return np.argsort(rank)
             beyond = np.zeros(n, np.int64)
             beyond[: max(n - length, 0)] = rank[length:] + 1
             key = rank * (n + 1) + beyond
@@ -208,14 +201,12 @@ class RunLengthIndex:
     def matching_statistics(self) -> np.ndarray:
         """For every place: how far its suffix matches the one before it in order."""
         n, at = len(self.text), np.arange(len(self.text))
-        padded = np.concatenate([self.text, np.full(self.MOST, 0xFFFF, np.uint16)])
-        sampled_length = np.zeros(len(self.sampled), np.int64)
+        sampled_length, k = np.zeros(len(self.sampled), np.int64), 0
         open_ = np.flatnonzero(self.run_ends >= 0)
-        for k in range(self.MOST):
-            open_ = open_[padded[self.sampled[open_] + k] == padded[self.run_ends[open_] + k]]
-            if not open_.size:
-                break
-            sampled_length[open_] = k + 1
+        while open_.size:
+            open_ = open_[self.text[self.sampled[open_] + k] == self.text[self.run_ends[open_] + k]]
+            k += 1
+            sampled_length[open_] = k
         here, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
         here[self.sampled], known[self.sampled] = self.sampled, sampled_length
         last = np.maximum.accumulate(here)
