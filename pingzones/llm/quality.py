@@ -66,13 +66,13 @@ def document_scores(docs: DataFrame, labels: DataFrame, text: str, id_: str, sit
         "doc_id", ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1)).cast("double").alias("label")
     )
     chosen = stored(known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED), "quality-labels")
-    s = chosen.agg(F.min("label").alias("least"), F.max("label").alias("most")).first()
     rows = docs.select(F.col(id_).alias("doc_id"), F.col(text).alias("_text"), *[c.alias(n) for n, c in sites.items()])
+    # The documents of at most MAX_LABELLED labels, as often as the optimiser asks for them.
+    sample = stored(rows.join(F.broadcast(chosen), "doc_id").select("_text", "label"), "quality-sample")
+    s = sample.agg(F.min("label").alias("least"), F.max("label").alias("most")).first()
     if s["least"] == s["most"]:
         alone = 0.5 if s["least"] is None else s["least"]
         return rows.withColumn("p", F.lit(alone)).drop("_text")
-    # At most MAX_LABELLED rows, as often as the optimiser asks for them.
-    sample = stored(rows.join(F.broadcast(chosen), "doc_id").select("_text", "label"), "quality-sample")
     learned = _features(sample, "_text").select("_features", "label").persist()
     model = LogisticRegression(
         featuresCol="_features", labelCol="label", regParam=REGULARISATION, elasticNetParam=1.0, maxIter=40
