@@ -166,6 +166,8 @@ ORACLES: dict[str, str] = {
     # A blank CSV field is a null.
     "csv_scan": f"WITH {_PINGS} SELECT * REPLACE (nullif(sim_operator, '') AS sim_operator) FROM pings",
     "offset_page": f'{_ALL_PINGS} ORDER BY "timestamp", id LIMIT {PAGE_SIZE} OFFSET {PAGE_SIZE}',
+    "offset_pages_of_equal_keys": f"""WITH {_PINGS}
+        SELECT * REPLACE (id % 10 AS id, date_trunc('hour', "timestamp") AS "timestamp") FROM pings""",
     "keyset_page": f"""{_ALL_PINGS} WHERE ("timestamp", id) > (TIMESTAMP '{PAGE_KEY[0]}', {PAGE_KEY[1]})
         ORDER BY "timestamp", id LIMIT {PAGE_SIZE}""",
     "keyset_full_pull": f"""WITH {_PINGS} SELECT * FROM (
@@ -178,17 +180,15 @@ ORACLES: dict[str, str] = {
     "append_with_ids": f"""WITH {_PINGS},
         indexed AS (SELECT *, row_number() OVER (ORDER BY "timestamp", id) - 1 AS i FROM pings),
         fresh AS (
-            SELECT *, concat('TEST_DEVICE_', CAST(i AS VARCHAR)) AS new_name,
+            SELECT *, concat('again-', lpad(CAST(i AS VARCHAR), 12, '0')) AS new_name,
                    "timestamp" + INTERVAL 1 MINUTE AS new_time FROM indexed),
         numbered AS (
             SELECT *, (SELECT max(id) FROM pings)
                       + row_number() OVER (ORDER BY new_time, new_name) AS new_id FROM fresh)
         SELECT {_ALL_PING_COLUMNS} FROM pings UNION ALL
-        SELECT CAST(new_id AS INT), new_name,
-               CAST('-17.8' AS DOUBLE) + CAST('0.001' AS DOUBLE) * CAST(i % 100 AS DOUBLE),
-               CAST('-63.1' AS DOUBLE) - CAST('0.001' AS DOUBLE) * CAST(i % 100 AS DOUBLE),
-               CAST(450 AS DOUBLE), CAST(0 AS DOUBLE), 75, -60, 'ENTEL', '4G', new_time,
-               concat('TEST_ID_', CAST(new_id AS VARCHAR)) FROM numbered""",
+        SELECT CAST(new_id AS INT), new_name, latitude, longitude, altitude, speed, battery, signal,
+               sim_operator, network_type, new_time, concat('again-', CAST(new_id AS VARCHAR))
+        FROM numbered""",
     "append_roundtrip": _ENRICHED,
     "seed_roundtrip": f"WITH {_PINGS} SELECT * REPLACE (upper(network_type) AS device_name) FROM pings",
     "incremental_cycle": _ENRICHED,

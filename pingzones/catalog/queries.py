@@ -16,7 +16,7 @@ from pingzones.operators.shared_folder import new_folder
 from pingzones.operators.zone_index import build_zone_index
 from pingzones.operators.zone_join import with_zone
 from pingzones.plans import cycle, transform
-from pingzones.schema import PING_COLUMNS, PING_SCHEMA
+from pingzones.schema import OUTSIDE, PING_COLUMNS, PING_SCHEMA
 from pingzones.sinks.targets import PathTarget, latest_time_of_files
 from pingzones.sources import pings as source
 from pingzones.sources.zones import empty_zones, read_zones
@@ -67,6 +67,15 @@ def offset_page(spark, sf_dir):
     return paging.offset_page(pings(spark, sf_dir), paging.PAGE_SIZE)
 
 
+def offset_pages_of_equal_keys(spark, sf_dir):
+    """Four pages over whole hours and repeated ids: every row once, with all its columns."""
+    hourly = pings(spark, sf_dir).withColumns(
+        {"timestamp": F.date_trunc("hour", "timestamp").cast("timestamp_ntz"), "id": F.col("id") % 10}
+    )
+    size = -(-hourly.count() // 4)
+    return source.union_pages([paging.offset_page(hourly, at * size, size) for at in range(4)])
+
+
 def keyset_page(spark, sf_dir):
     return paging.keyset_page(pings(spark, sf_dir), PAGE_KEY)
 
@@ -147,24 +156,34 @@ def _bin(column: str, function, out: str) -> Query:
 
 
 def coordinate_parse(spark, sf_dir):
-    """Coordinates as text, some of them not numbers."""
+    """Coordinates as text, some of them not numbers, labelled by the zone step."""
     e = derived.table(spark, sf_dir, "events")
     text = F.when(F.col("event_type") == "error", F.col("props")).otherwise(
         F.concat(F.lit(" "), F.col("value").cast("string"), F.lit(" "))
     )
-    parsed = parsing.parse_coordinate(text)
-    label = F.when(text.isNotNull() & parsed.isNull(), "ERROR_COORDENADA").otherwise("ok")
-    return e.select("event_id", parsed.alias("coordinate"), label.alias("status"))
+    located = e.select("event_id", text.alias("latitude"), F.lit(0.0).alias("longitude"))
+    status = F.when(F.col("zona") == OUTSIDE, "ok").otherwise(F.col("zona"))
+    return with_zone(located, build_zone_index(empty_zones(spark))).select(
+        "event_id", parsing.parse_coordinate(F.col("latitude")).alias("coordinate"), status.alias("status")
+    )
 
 
 def parse_timestamps(spark, sf_dir):
-    """ISO texts with and without an offset, and some that are no times."""
-    text = parsing.format_timestamp(F.col("ts"), "T")
+    """ISO texts with and without an offset, in both forms, and some that are no times."""
+    ts, kind, n = F.col("ts"), F.col("event_type"), F.col("event_id") % 4
+    text = parsing.format_timestamp(ts, "T")
+    basic = F.date_format(ts, "yyyyMMdd'T'HHmmss.SSSSSS")
     by_type = (
-        F.when(F.col("event_type") == "click", text)
-        .when(F.col("event_type") == "view", F.concat(text, F.lit("Z")))
-        .when(F.col("event_type") == "error", F.concat(F.lit("at "), text))
-        .otherwise(F.concat(text, F.lit("-04:00")))
+        F.when(kind == "click", F.when(n == 0, basic).otherwise(text))
+        .when(kind == "view", F.concat(F.when(n == 0, basic).otherwise(text), F.lit("Z")))
+        .when(
+            kind == "error",
+            F.when(n == 0, F.concat(F.lit("at "), text))
+            .when(n == 1, F.concat(text, F.lit(" America/New_York")))
+            .when(n == 2, F.concat(text, F.lit(" UTC")))
+            .otherwise(F.substring(text, 11, 16)),
+        )
+        .otherwise(F.concat(text, F.when(n == 0, "-0400").otherwise("-04:00")))
     )
     return derived.table(spark, sf_dir, "events").select(
         "event_id", parsing.parse_iso_timestamp(by_type).alias("fecha_hora")
@@ -230,20 +249,15 @@ def append_with_ids(spark, sf_dir):
     existing = pings(spark, sf_dir)
     rows = numbering.with_row_index(existing, "i", ["timestamp", "id"])
     i = F.col("i")
-    new = rows.select(
-        F.concat(F.lit("TEST_DEVICE_"), i.cast("string")).alias("device_name"),
-        (F.lit(-17.8) + F.lit(0.001) * (i % 100)).alias("latitude"),
-        (F.lit(-63.1) - F.lit(0.001) * (i % 100)).alias("longitude"),
-        F.lit(450.0).alias("altitude"),
-        F.lit(0.0).alias("speed"),
-        F.lit(75).alias("battery"),
-        F.lit(-60).alias("signal"),
-        F.lit("ENTEL").alias("sim_operator"),
-        F.lit("4G").alias("network_type"),
-        (F.col("timestamp") + F.expr("INTERVAL 1 MINUTE")).alias("timestamp"),
-    )
+    # A copy of the ping, read by another device of the same kind.
+    new = rows.withColumns(
+        {
+            "device_name": F.concat_ws("-", F.lit("again"), F.lpad(i.cast("string"), 12, "0")),
+            "timestamp": F.col("timestamp") + F.expr("INTERVAL 1 MINUTE"),
+        }
+    ).drop("i", "id", "device_id")
     numbered = numbering.with_next_ids(new, existing, order_by=["timestamp", "device_name"])
-    with_device = numbered.withColumn("device_id", F.concat(F.lit("TEST_ID_"), F.col("id").cast("string")))
+    with_device = numbered.withColumn("device_id", F.concat(F.lit("again-"), F.col("id").cast("string")))
     return existing.unionByName(with_device)
 
 
@@ -339,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "page_scan": page_scan,
     "csv_scan": csv_scan,
     "offset_page": offset_page,
+    "offset_pages_of_equal_keys": offset_pages_of_equal_keys,
     "keyset_page": keyset_page,
     "keyset_full_pull": keyset_full_pull,
     "union_pages": union_pages,

@@ -31,23 +31,43 @@ def parse_coordinate(c: Column) -> Column:
     )
 
 
+# Date, and optionally time and numeric offset, in the extended form.
+_EXTENDED = (
+    r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+)
+# What makes the basic form extended: separators in the date and the time.
+_TO_EXTENDED = (
+    (r"^(\d{4})(\d{2})(\d{2})(?=T|$)", "$1-$2-$3"),
+    (r"T(\d{2})(\d{2})(?=\d{2}|Z|[+-]|$)", "T$1:$2"),
+    (r"(T\d{2}:\d{2})(\d{2})", "$1:$2"),
+    (r"(:\d{2}),(?=\d)", "$1."),
+)
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def instant_to_clock(c: Column, zone: str = DEFAULT_ZONE) -> Column:
+    """A timestamp (an instant) to the wall clock of ``zone``, whatever the session's zone."""
+    utc_clock = F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_EPOCH).cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_clock)
+
+
 def parse_iso_timestamp(c: Column, zone: str = DEFAULT_ZONE) -> Column:
     """ISO-8601 text to a time without zone; null when it cannot be read.
 
-    Text without an offset is taken as it stands.  Text with an offset names an
+    Reads a date, alone or with a time, alone or with a numeric offset or ``Z``,
+    in the extended (``2024-01-01T10:00:00``) or basic form
+    (``20240101T100000``), and nothing else: no zone names, no time without a
+    date.  Text without an offset is taken as it stands.  Text with one names an
     instant and becomes the wall clock of ``zone``.  Neither depends on the
     session time zone.
     """
-    text = F.trim(c)
-    # What follows the ten characters of the date and the separator.
-    clock = F.upper(F.substring(text, 12, 64))
-    has_offset = clock.contains("+") | clock.contains("-") | clock.endswith("Z")
-    micros = F.unix_micros(text.try_cast("timestamp"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    utc_clock = F.timestamp_add("MICROSECOND", micros, epoch)
-    return F.when(
-        has_offset, F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_clock)
-    ).otherwise(text.try_cast("timestamp_ntz"))
+    text = F.upper(F.trim(c))
+    for pattern, parts in _TO_EXTENDED:
+        text = F.regexp_replace(text, pattern, parts)
+    clock = F.regexp_replace(text, _EXTENDED, "$1 $2").try_cast("timestamp_ntz")
+    offset = F.regexp_extract(text, _EXTENDED, 3)
+    at_zone = F.convert_timezone(offset, F.lit(zone), clock)
+    return F.when(text.rlike(_EXTENDED), F.when(offset == "", clock).otherwise(at_zone))
 
 
 def format_timestamp(c: Column, separator: str = " ") -> Column:

@@ -13,6 +13,7 @@ PAGE_SIZE = 5000
 # Rows a page may skip by sorting; further offsets are first narrowed by counting.
 MAX_SKIP = 100_000
 _BUCKETS = 1024
+_ROW = "_row_hash"
 
 Key = tuple[datetime | None, int | None]
 
@@ -48,7 +49,7 @@ def keyset_page(pings: DataFrame, after: Key | None = None, size: int = PAGE_SIZ
     return _ordered(pings).limit(size)
 
 
-def _descend(rows: DataFrame, key: Column, rank: int, distance, literal) -> tuple:
+def _descend(rows: DataFrame, key: Column, rank: int, distance, literal, max_skip: int) -> tuple:
     """Narrow to the value range of ``key`` that holds the row number ``rank``.
 
     Counts rows in equal-width ranges and goes into the right one until it is
@@ -63,7 +64,7 @@ def _descend(rows: DataFrame, key: Column, rank: int, distance, literal) -> tupl
     if rank >= s["n"]:
         return None, None, rank - s["n"], s["total"] - s["n"]
     low, high, n = s["lo"], s["hi"], s["n"]
-    while n > MAX_SKIP and low != high:
+    while n > max_skip and low != high:
         # At most _BUCKETS + 1 rows; the bounds come from the data itself.
         ranges = (
             keyed.filter(F.col("_key").between(literal(low), literal(high)))
@@ -90,29 +91,36 @@ def _number_bucket(c: Column, low: int, high: int) -> Column:
     return F.width_bucket(offset, F.lit(0.0), F.lit(float(high - low)), F.lit(_BUCKETS))
 
 
-def offset_page(pings: DataFrame, offset: int, size: int = PAGE_SIZE) -> DataFrame:
-    """Rows ``offset`` to ``offset + size`` of the ordered table.
+def offset_page(pings: DataFrame, offset: int, size: int = PAGE_SIZE, max_skip: int | None = None) -> DataFrame:
+    """Rows ``offset`` to ``offset + size`` of the table, ordered by time, id and row hash.
 
-    Small offsets are a plain top-k.  For a large one, counting passes find the
-    key range that the page starts in, so the skipped rows are counted where
-    they lie and never sorted or brought together.
+    The hash is over all columns, so only rows that are equal in every one have
+    no order among them, and consecutive pages cover the table once.  Small
+    offsets are a plain top-k.  For a large one, counting passes find the key
+    range that the page starts in, so the skipped rows are counted where they
+    lie and never sorted or brought together.  ``max_skip`` changes the way, not
+    the rows.
     """
-    if offset + size <= MAX_SKIP:
-        return _ordered(pings).offset(offset).limit(size)
-    time, id_ = F.col("timestamp"), F.col("id")
-    low, high, rank, n = _descend(pings, time, offset, _time_bucket, ntz)
-    at_time = time.isNull() if low is None else time == ntz(low)
-    start = time.isNull() if low is None else time.isNull() | (time >= ntz(low))
-    if n > MAX_SKIP:  # one time (or null) with very many rows: go on by id
-        later = F.lit(False) if low is None else time.isNull() | (time > ntz(low))
-        low_id, high_id, rank, n = _descend(pings.filter(at_time), id_, rank, _number_bucket, F.lit)
-        here = id_.isNull() if low_id is None else id_.isNull() | (id_ >= low_id)
-        start = later | (at_time & here)
-        if n > MAX_SKIP:  # one key with very many rows, which have no order among them
-            same = at_time & (id_.isNull() if low_id is None else id_ == low_id)
-            rest = later | (at_time & (F.lit(False) if low_id is None else id_.isNull() | (id_ > low_id)))
+    max_skip = MAX_SKIP if max_skip is None else max_skip
+    keyed = pings.withColumn(_ROW, F.xxhash64(*pings.columns))
+    ordered = lambda rows: rows.orderBy(*[F.col(k).asc_nulls_last() for k in ("timestamp", "id", _ROW)])
+    start, rank = F.lit(True), offset
+    if offset + size > max_skip:
+        same, later = F.lit(True), F.lit(False)
+        for name, distance, literal in (
+            ("timestamp", _time_bucket, ntz), ("id", _number_bucket, F.lit), (_ROW, _number_bucket, F.lit),
+        ):
+            key = F.col(name)
+            low, _, rank, n = _descend(keyed.filter(same), key, rank, distance, literal, max_skip)
+            reached = key.isNull() if low is None else key.isNull() | (key >= literal(low))
+            start = later | (same & reached)
+            if n <= max_skip:
+                break
+            # One value with very many rows: go on by the next key.
+            later = later | (same & (F.lit(False) if low is None else key.isNull() | (key > literal(low))))
+            same = same & (key.isNull() if low is None else key == literal(low))
+        else:  # rows equal in every column; any of them will do
             taken = min(size, n - rank)
-            return pings.filter(same).limit(taken).unionByName(
-                _ordered(pings.filter(rest)).limit(size - taken)
-            )
-    return _ordered(pings.filter(start)).offset(rank).limit(size)
+            rest = ordered(keyed.filter(later)).limit(size - taken)
+            return keyed.filter(same).limit(taken).unionByName(rest).drop(_ROW)
+    return ordered(keyed.filter(start)).offset(rank).limit(size).drop(_ROW)

@@ -28,3 +28,26 @@ def new_folder(spark: SparkSession, label: str) -> str:
     """A path nobody else uses, for a written intermediate table."""
     application = spark.sparkContext.applicationId
     return f"{shared_folder(spark)}/pingzones/{application}/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(sc._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def mark_path(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    system, place = _file_system(spark, path)
+    system.create(place, True).close()
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table, once nothing reads it any more."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)

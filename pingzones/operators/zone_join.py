@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pingzones.functions.geometry import strictly_inside
+from pingzones.functions.parsing import parse_coordinate
 from pingzones.operators.skew import ROWS_PER_TASK, salted_left_join
 from pingzones.operators.zone_index import WINNER_TYPE, ZoneIndex
-from pingzones.schema import OUTSIDE, UNKNOWN
+from pingzones.schema import BAD_COORDINATE, OUTSIDE, UNKNOWN
 
 # An index above this size is joined by shuffling instead of broadcasting.
 BROADCAST_LIMIT = 128 << 20
@@ -25,6 +26,15 @@ def fits_broadcast(index: ZoneIndex, broadcast_limit: int = BROADCAST_LIMIT) ->
     return index.bytes_estimate <= broadcast_limit
 
 
+def _with_zone_of_text(pings, index, out, lat, lon, broadcast_limit, rows_per_task) -> DataFrame:
+    numbers = {"_lat": parse_coordinate(F.col(lat)), "_lon": parse_coordinate(F.col(lon))}
+    bad = (F.col(lat).isNotNull() & F.col("_lat").isNull()) | (F.col(lon).isNotNull() & F.col("_lon").isNull())
+    zoned = with_zone(pings.withColumns(numbers), index, "_zone", "_lat", "_lon", broadcast_limit, rows_per_task)
+    missing = F.col(lat).isNull() | F.col(lon).isNull()
+    label = F.when(missing, UNKNOWN).when(bad, BAD_COORDINATE).otherwise(F.col("_zone"))
+    return zoned.withColumn(out, label).drop("_lat", "_lon", "_zone")
+
+
 def with_zone(
     pings: DataFrame,
     index: ZoneIndex,
@@ -36,10 +46,16 @@ def with_zone(
 ) -> DataFrame:
     """``pings`` with the zone label in column ``out``.
 
+    Coordinates may be text: one that is no number gives the label of a bad
+    coordinate.
+
     Within ``broadcast_limit`` the pings are not shuffled and not multiplied:
     each looks up its cell in a broadcast table.  Above it the pings are
     shuffled by cell, with salts for crowded cells.
     """
+    kinds = dict(pings.dtypes)
+    if "string" in (kinds[lat], kinds[lon]):
+        return _with_zone_of_text(pings, index, out, lat, lon, broadcast_limit, rows_per_task)
     missing = f"{lat} IS NULL OR {lon} IS NULL"
     if index.is_empty:
         label = f"CASE WHEN {missing} THEN '{UNKNOWN}' ELSE '{OUTSIDE}' END"

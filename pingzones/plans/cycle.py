@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from pingzones.functions import bins
 from pingzones.functions.parsing import ntz
 from pingzones.operators.paging import newer_than
 from pingzones.operators.zone_index import ZoneIndex
@@ -26,19 +27,27 @@ class CycleReport:
 def not_loaded(
     pings: DataFrame, target: DataFrame, low: datetime | None, high: datetime | None
 ) -> DataFrame:
-    """Pings of which the target has no row with the same source values.
+    """Pings that the target holds fewer times than ``pings`` does.
 
-    Only the part of the target between ``low`` and ``high`` is read; the caller
-    guarantees that the pings lie there.  Labels are not compared, so a changed
-    zone file does not make loaded pings look new.
+    Compared are the values that the target carries unchanged and the operator,
+    which depends on the ping alone; of n equal pings the target has m of, n - m
+    are left.  Only the part of the target between ``low`` and ``high`` is read;
+    the caller guarantees that the pings lie there.  Zones are not compared, so a
+    changed zone file does not make loaded pings look new.
     """
-    known = target.select(*[F.col(o).alias(f"_{s}") for o, s in PASS_THROUGH.items()])
+    names = {**PASS_THROUGH, "compania": "_operator"}
+    known = target.select(*[F.col(o).alias(f"_known_{s}") for o, s in names.items()])
     if low is not None:
-        known = known.filter(F.col("_timestamp").between(ntz(low), ntz(high)))
-    # Copies are folded map-side; the left side is split by AQE if it is skewed.
-    known = known.distinct()
-    on = [F.col(s).eqNullSafe(F.col(f"_{s}")) for s in PASS_THROUGH.values()]
-    return pings.join(known, on, "left_anti")
+        known = known.filter(F.col("_known_timestamp").between(ntz(low), ntz(high)))
+    # Copies are folded map-side.
+    counts = known.groupBy(*known.columns).agg(F.count(F.lit(1)).alias("_held"))
+    of_equal = Window.partitionBy(*names.values()).orderBy(F.lit(1))
+    numbered = pings.withColumn("_operator", bins.operator_class("sim_operator")).withColumn(
+        "_copy", F.row_number().over(of_equal)
+    )
+    on = [F.col(s).eqNullSafe(F.col(f"_known_{s}")) for s in names.values()]
+    left = numbered.join(counts, on, "left").filter("_held IS NULL OR _copy > _held")
+    return left.select(*[f"`{c}`" for c in pings.columns])
 
 
 def pending(

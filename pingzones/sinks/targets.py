@@ -9,12 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pingzones.functions.parsing import ntz
+from pingzones.operators.shared_folder import path_exists
 from pingzones.schema import OUTPUT_SCHEMA
 
 TIME = "fecha_hora"
 BATCH_SIZE = 5000
-# From this many files on, the newest ones are asked first for the latest time.
-MANY_FILES = 64
 
 
 def latest_time(df: DataFrame, column: str = TIME) -> DataFrame:
@@ -61,9 +60,7 @@ class Target:
         """Latest loaded time; None for a missing or empty target."""
         if not self.exists():
             return None
-        df = self.read()
-        many = len(df.inputFiles()) >= MANY_FILES
-        return (latest_time_of_files(df) if many else latest_time(df)).first()["max_ts"]
+        return latest_time(self.read()).first()["max_ts"]
 
 
 @dataclass
@@ -75,13 +72,14 @@ class PathTarget(Target):
     schema: object = OUTPUT_SCHEMA
 
     def exists(self) -> bool:
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(sc._jsc.hadoopConfiguration()).exists(path)
+        return path_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
+    def high_water_mark(self) -> datetime | None:
+        return latest_time_of_files(self.read()).first()["max_ts"] if self.exists() else None
+
     def append(self, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path)
 
@@ -138,20 +136,14 @@ def jdbc_catalog_conf(catalog: str, url: str, driver: str, **options: str) -> di
     return conf | {f"{prefix}.{k}": v for k, v in options.items()}
 
 
-# Column types for a table that the write creates, by output or ping column.
-_SQL_TYPES = {"double": "DOUBLE PRECISION", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
-
-
-def created_column_types(df: DataFrame) -> str:
-    return ", ".join(f"`{c}` {_SQL_TYPES[t]}" for c, t in df.dtypes if t in _SQL_TYPES)
-
-
 @dataclass
 class JdbcTarget(Target):
     """A database table written over ``connections`` parallel connections.
 
-    Without ``catalog_name``, the name of the table in a JDBC catalog, the table
-    is taken to exist.
+    The column types of a table that the write creates are those of Spark's
+    dialect for the database.  Whether the table exists is asked of the catalog
+    if ``catalog_name`` is its name in a JDBC catalog, and else of the
+    database's information schema.
     """
 
     spark: SparkSession
@@ -169,7 +161,13 @@ class JdbcTarget(Target):
         )
 
     def exists(self) -> bool:
-        return self.catalog_name is None or self.spark.catalog.tableExists(self.catalog_name)
+        if self.catalog_name is not None:
+            return self.spark.catalog.tableExists(self.catalog_name)
+        *schema, name = [part.strip('"').replace("'", "''") for part in self.table.split(".")]
+        where = f"lower(table_name) = lower('{name}')"
+        if schema:
+            where += f" AND lower(table_schema) = lower('{schema[-1]}')"
+        return self._query(f"SELECT COUNT(*) AS n FROM information_schema.tables WHERE {where}").first()[0] > 0
 
     def read(self) -> DataFrame:
         return (
@@ -184,15 +182,16 @@ class JdbcTarget(Target):
         return self._query(f"SELECT MAX({TIME}) AS max_ts FROM {self.table}").first()[0]
 
     def _write(self, df: DataFrame, mode: str) -> None:
+        # Only the insert is narrow; the labelling before it keeps its own tasks.
         (
-            df.write.format("jdbc")
+            df.repartition(self.connections)
+            .write.format("jdbc")
             .mode(mode)
             .options(
                 url=self.url,
                 dbtable=self.table,
                 batchsize=str(BATCH_SIZE),
                 numPartitions=str(self.connections),
-                createTableColumnTypes=created_column_types(df),
                 **self.properties,
             )
             .save()

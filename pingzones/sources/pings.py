@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from functools import reduce
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
-from pingzones.functions.parsing import DEFAULT_ZONE, format_timestamp, parse_iso_timestamp
+from pingzones.functions.parsing import DEFAULT_ZONE, format_timestamp, instant_to_clock, parse_iso_timestamp
 from pingzones.operators.paging import newer_than
 from pingzones.schema import PING_COLUMNS, PING_SCHEMA
 
@@ -30,9 +31,31 @@ def empty_pings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], PING_SCHEMA)
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """The ping columns in order, bound by name and cast to their types."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in PING_SCHEMA])
+def conform(df: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
+    """The ping columns in order, bound by name and cast to their types.
+
+    A time that is stored as an instant becomes the wall clock of ``zone``.
+    """
+    instant = isinstance(df.schema["timestamp"].dataType, T.TimestampType)
+
+    def column(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        return (instant_to_clock(c, zone) if instant and f.name == "timestamp" else c.cast(f.dataType)).alias(f.name)
+
+    return df.select(*[column(f) for f in PING_SCHEMA])
+
+
+def _newer(df: DataFrame, mark: datetime | None, zone: str) -> DataFrame:
+    """Rows of a raw table after the mark, a wall clock of ``zone``.
+
+    The filter compares the column as it is stored, so it reaches the scan.
+    """
+    if mark is None or not isinstance(df.schema["timestamp"].dataType, T.TimestampType):
+        return newer_than(conform(df, zone), mark)
+    # Where clocks go back a wall clock names two instants; the filter on the clock decides.
+    earliest = mark.replace(tzinfo=ZoneInfo(zone)).astimezone(timezone.utc) - timedelta(hours=3)
+    instant = F.lit(earliest.strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
+    return newer_than(conform(df.filter(F.col("timestamp") > instant), zone), mark)
 
 
 # --- landed response pages -------------------------------------------------
@@ -135,8 +158,16 @@ def _whole_number(name: str) -> Column:
     return F.when(c.isNull() | (c == F.floor(c)), c.cast("int")).otherwise(failure.cast("int"))
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return conform(spark.read.parquet(path))
+def read_parquet(
+    spark: SparkSession, path: str, mark: datetime | None = None, zone: str = DEFAULT_ZONE
+) -> DataFrame:
+    return _newer(spark.read.parquet(path), mark, zone)
+
+
+def read_table(
+    spark: SparkSession, name: str, mark: datetime | None = None, zone: str = DEFAULT_ZONE
+) -> DataFrame:
+    return _newer(spark.table(name), mark, zone)
 
 
 # --- JDBC ------------------------------------------------------------------
@@ -161,6 +192,7 @@ def read_jdbc(
     properties: dict[str, str] | None = None,
     rows_per_partition: int = 500_000,
     max_connections: int = 32,
+    zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
     """Parallel scan of a database table, split on ranges of ``id``.
 
@@ -179,7 +211,7 @@ def read_jdbc(
             upperBound=str(r["hi"] + 1),
             numPartitions=str(parts),
         )
-    return newer_than(conform(reader.load()), mark)
+    return _newer(reader.load(), mark, zone)
 
 
 # --- one entry point -------------------------------------------------------
@@ -189,7 +221,7 @@ _READERS = {
     "pages": read_pages,
     "csv": read_csv,
     "parquet": read_parquet,
-    "table": lambda spark, name: conform(spark.table(name)),
+    "table": read_table,
 }
 
 
@@ -199,8 +231,8 @@ def read_pings(
     """Pings of a source, only those newer than ``mark`` when one is given."""
     if source not in _READERS:
         raise ValueError(f"unknown source {source!r}; use one of {sorted(_READERS)}")
-    if source == "jdbc":
-        return read_jdbc(spark, mark=mark, **options)
+    if source in ("jdbc", "parquet", "table"):
+        return _READERS[source](spark, mark=mark, **options)
     return newer_than(_READERS[source](spark, **options), mark)
 
 

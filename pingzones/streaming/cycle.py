@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pingzones.operators.shared_folder import mark_path, path_exists
 from pingzones.operators.zone_index import ZoneIndex
 from pingzones.plans.cycle import not_loaded
 from pingzones.plans.transform import label_pings
@@ -18,22 +19,29 @@ from pingzones.sinks.targets import Target
 
 
 class _BatchWriter:
-    """Appends batches; the first one after a start may be a repeat.
+    """Appends batches; a batch that runs again is not appended again.
 
     A query that stops between the append and the commit of a batch runs that
-    batch again at its next start, and only that one.  Its rows are compared
-    with the target over the times they span.
+    batch again at its next start.  Marks in the checkpoint tell: a batch marked
+    as appended is passed over, and one marked as begun only, of which all or
+    some rows may be in the target, is compared with the target over the times
+    it spans.  Every other batch is appended as it is, copies included.
     """
 
-    def __init__(self, target: Target, index: ZoneIndex, thresholds: Thresholds):
+    def __init__(self, target: Target, index: ZoneIndex, thresholds: Thresholds, checkpoint: str):
         self.target, self.index, self.thresholds = target, index, thresholds
-        self.first = True
+        self.marks = f"{checkpoint}/appended"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if self.first and self.target.exists():
+        spark = batch.sparkSession
+        begun, ended = (f"{self.marks}/{batch_id}.{state}" for state in ("begun", "ended"))
+        if path_exists(spark, ended):
+            return
+        if path_exists(spark, begun) and self.target.exists():
             batch = self._unrepeated(batch)
-        self.first = False
+        mark_path(spark, begun)
         self.target.append(label_pings(batch, self.index, self.thresholds))
+        mark_path(spark, ended)
 
     def _unrepeated(self, batch: DataFrame) -> DataFrame:
         span = batch.agg(
@@ -56,7 +64,9 @@ def start_stream(
     interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start the stream; by default it works through what has landed and ends."""
-    writer = pings.writeStream.foreachBatch(_BatchWriter(target, index, thresholds)).option(
+    writer = pings.writeStream.foreachBatch(
+        _BatchWriter(target, index, thresholds, checkpoint)
+    ).option(
         "checkpointLocation", checkpoint
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

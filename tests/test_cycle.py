@@ -95,14 +95,40 @@ def test_stream_equals_batch(spark, tmp_path, pings, index):
     assert rows(t.read()) == rows(batch) == rows(label_pings(pings, index))
 
 
-def test_stream_repeats_a_batch_without_doubling(spark, tmp_path, pings, index):
-    """A batch whose rows landed but whose commit was lost runs again."""
-    pages, t = str(tmp_path / "pages"), target(spark, tmp_path)
-    write_pages(pings, pages)
-    for state in ("state-a", "state-b"):  # a new state repeats the first batch
+@pytest.mark.parametrize("lost", ["commit", "commit and mark"])
+def test_stream_repeats_a_batch_without_doubling(spark, tmp_path, pings, index, lost):
+    """A batch whose rows landed but whose commit was lost runs again; copies stay."""
+    pages, state, t = str(tmp_path / "pages"), tmp_path / "state", target(spark, tmp_path)
+    copied = pings.unionByName(pings.filter("battery IS NULL"))
+    write_pages(copied, pages)
+    for _ in range(2):
         stream = stream_pages(spark, pages, multi_line=False)
-        start_stream(stream, t, index, str(tmp_path / state)).awaitTermination()
-    assert rows(t.read()) == rows(label_pings(pings, index))
+        start_stream(stream, t, index, str(state)).awaitTermination()
+        gone = ["commits/0", "commits/.0.crc"] + ["appended/0.ended"] * (lost != "commit")
+        for name in gone:
+            (state / name).unlink(missing_ok=True)
+    assert rows(t.read()) == rows(label_pings(copied, index))
+
+
+def test_stream_keeps_copies_of_earlier_batches(spark, tmp_path, pings, index):
+    pages, t = str(tmp_path / "pages"), target(spark, tmp_path)
+    for step in range(2):  # the same pings land twice, with a restart between
+        write_pages(pings, f"{pages}/step={step}")
+        stream = stream_pages(spark, f"{pages}/*", multi_line=False)
+        start_stream(stream, t, index, str(tmp_path / "state")).awaitTermination()
+    assert rows(t.read()) == rows(label_pings(pings.unionByName(pings), index))
+
+
+def test_lookback_tells_operators_and_null_ids_apart(spark, tmp_path, pings, index):
+    some = pings.limit(50).cache()
+    twins = some.withColumn("sim_operator", F.lit("other")).withColumn("id", F.lit(None).cast("int"))
+    both = some.withColumn("id", F.lit(None).cast("int")).unionByName(twins).unionByName(twins.limit(5))
+    late = [some.withColumn("id", F.lit(None).cast("int")), both]
+    t = target(spark, tmp_path)
+    for version in late:
+        run_cycle(version, t, index, lookback=timedelta(days=400))
+    timed = both.filter("timestamp is not null")
+    assert t.read().filter("fecha_hora is not null").count() == timed.count()
 
 
 def test_label_plan(pings, index):

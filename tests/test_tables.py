@@ -72,14 +72,16 @@ def test_offset_page_after_counting(tied, monkeypatch, offset):
     assert keys(paging.offset_page(df, offset, 50)) == wanted[offset : offset + 50]
 
 
-def test_offset_page_within_copies(spark, monkeypatch):
-    monkeypatch.setattr(paging, "MAX_SKIP", 20)
-    rows = [(1, T0)] * 200 + [(2, T0), (3, T0 + timedelta(days=1))]
-    df = timed(spark, rows)
-    for offset in (0, 30, 190, 199, 200):
-        assert sorted(keys(paging.offset_page(df, offset, 15))) == in_order(
-            [(t, i) for i, t in rows]
-        )[offset : offset + 15]
+@pytest.mark.parametrize("max_skip", [7, 60, 1000])
+def test_pages_over_equal_keys_cover_the_rows_once(spark, max_skip):
+    """Rows of one time and id differ in other columns; some are copies."""
+    rows = [(1, T0)] * 90 + [(2, T0), (None, T0), (3, None), (3, T0 + timedelta(days=1))] + [(3, None)] * 20
+    df = timed(spark, rows).withColumn("battery", (F.monotonically_increasing_id() % 40).cast("int"))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    pages = [paging.offset_page(df, at, 30, max_skip) for at in range(0, 120, 30)]
+    got = [tuple(r) for page in pages for r in page.collect()]
+    assert sorted(got, key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    assert [len(p.collect()) for p in pages] == [30, 30, 30, 24]
 
 
 def test_filter_reaches_the_scan(spark, tiny, tmp_path):
@@ -292,8 +294,7 @@ def test_target_life(spark, tmp_path, kind):
 
 @pytest.mark.parametrize("order", [[3, 1, 2], [1, 2, 3], [None, 2], [2, None], [None]])
 @pytest.mark.parametrize("kind", ["path", "table"])
-def test_mark_of_many_files(spark, tmp_path, monkeypatch, order, kind):
-    monkeypatch.setattr(targets, "MANY_FILES", 1)
+def test_mark_of_many_files(spark, tmp_path, order, kind):
     target = make_target(kind, spark, tmp_path)
     for day in order:
         target.append(labelled(spark, [None if day is None else T0 + timedelta(days=day)]))
@@ -303,21 +304,65 @@ def test_mark_of_many_files(spark, tmp_path, monkeypatch, order, kind):
 
 def test_jdbc_target_options(spark):
     session, df = MagicMock(), MagicMock()
-    df.dtypes = [("id", "int"), ("latitud", "double"), ("zona", "string"), ("fecha_hora", "timestamp_ntz")]
-    writer = df.write.format.return_value
+    writer = df.repartition.return_value.write.format.return_value
     writer.mode.return_value.options.return_value = writer
     target = targets.JdbcTarget(session, "jdbc:x", "locations", {"user": "u"}, connections=4)
     target.append(df)
     target.replace(df)
     assert [c.args[0] for c in writer.mode.call_args_list] == ["append", "overwrite"]
+    assert {c.args for c in df.repartition.call_args_list} == {(4,)}
     options = writer.mode.return_value.options.call_args.kwargs
     assert options["numPartitions"] == "4" and options["batchsize"] == "5000"
-    assert "`fecha_hora` TIMESTAMP" in options["createTableColumnTypes"]
+    assert "createTableColumnTypes" not in options
     conf = targets.jdbc_catalog_conf("pg", "jdbc:x", "org.postgresql.Driver", user="u")
     assert conf["spark.sql.catalog.pg.pushDownAggregate"] == "true"
     assert conf["spark.sql.catalog.pg.user"] == "u"
 
 
+@pytest.mark.parametrize("found", [0, 1])
+def test_missing_jdbc_table_has_no_mark(found):
+    """Asked of the information schema; only an existing table is read."""
+    session = MagicMock()
+    options = session.read.format.return_value.options
+    options.return_value.load.return_value.first.side_effect = [(found,), (T0,)]
+    target = targets.JdbcTarget(session, "jdbc:x", 'geo."Locations"')
+    assert target.high_water_mark() == (T0 if found else None)
+    asked = [c.kwargs["query"] for c in options.call_args_list]
+    assert "lower('Locations')" in asked[0] and "lower('geo')" in asked[0] and len(asked) == 1 + found
+
+
+def test_postgres_column_types(spark):
+    """The types that Spark's dialect gives a created table."""
+    jvm = spark.sparkContext._jvm
+    df = spark.createDataFrame([], OUTPUT_SCHEMA)
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get("jdbc:postgresql://x/y")
+    types = {
+        f.name: dialect.getJDBCType(jvm.org.apache.spark.sql.types.DataType.fromDDL(f.dataType.simpleString()))
+        for f in df.schema
+    }
+    said = {n: t.get().databaseTypeDefinition() for n, t in types.items() if t.isDefined()}
+    assert said["latitud"] == "FLOAT8" and said["zona"] == "TEXT"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/La_Paz"])
+def test_instants_do_not_depend_on_the_session(spark, tmp_path, zone):
+    """A file that stores instants: same clocks, and same rows after a mark, under every zone."""
+    path = str(tmp_path / "instants")
+    texts = [f"2024-01-{d:02d} 12:00:00+00:00" for d in range(1, 11)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, at string")
+    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in PING_SCHEMA if f.name not in ("id", "timestamp")]
+    df.select("id", F.col("at").cast("timestamp").alias("timestamp"), *others).write.parquet(path)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = source.read_pings(spark, "parquet", datetime(2024, 1, 5, 8), path=path)
+        assert {r["id"] for r in rows.collect()} == {5, 6, 7, 8, 9}
+        assert rows.agg(F.max("timestamp")).first()[0] == datetime(2024, 1, 10, 8)
+        assert "GreaterThan(timestamp" in plan_text(rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 # --- folder for intermediate tables ----------------------------------------
 
 

@@ -93,10 +93,72 @@ def test_folder_is_read_in_file_order(spark, tmp_path):
 
 
 def test_missing_or_unreadable_file_gives_no_zones(spark, tmp_path):
-    assert read_zones(spark, str(tmp_path / "none.geojson")).count() == 0
+    with pytest.warns(UserWarning, match="none.geojson does not exist"):
+        assert read_zones(spark, str(tmp_path / "none.geojson")).count() == 0
     broken = tmp_path / "broken.geojson"
     broken.write_text('{"type": "FeatureCollection", "features": [')
-    assert read_zones(spark, str(broken)).count() == 0
+    with pytest.warns(UserWarning, match="broken.geojson"):
+        assert read_zones(spark, str(broken)).count() == 0
+
+
+def _feature(name, geometry):
+    return {"type": "Feature", "properties": {"name": name}, "geometry": geometry}
+
+
+SQUARE = [[[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]]
+
+
+def test_one_broken_file_of_three_is_named(spark, tmp_path):
+    for file in "ac":
+        text = json.dumps({"features": [_feature(file, {"type": "Polygon", "coordinates": SQUARE})]})
+        (tmp_path / f"{file}.geojson").write_text(text)
+    (tmp_path / "b.geojson").write_text("{")
+    with pytest.warns(UserWarning, match="b.geojson"):
+        zones = read_zones(spark, str(tmp_path))
+    assert [r["name"] for r in zones.orderBy("ord").collect()] == ["a", "c"]
+
+
+@pytest.mark.parametrize(
+    "geometry",
+    [
+        {"type": "Polygon", "coordinates": [[[0, 0], ["x", 0], [2, 2]]]},
+        {"type": "Polygon", "coordinates": [[[0, 0], [1], [2, 2]]]},
+        {"type": "MultiPolygon", "coordinates": 5},
+        {"type": "Blob", "coordinates": SQUARE},
+    ],
+)
+def test_bad_geometry_fails_unless_kept(spark, tmp_path, geometry):
+    file = tmp_path / "zones.geojson"
+    good = _feature("good", {"type": "Polygon", "coordinates": SQUARE})
+    file.write_text(json.dumps({"features": [good, _feature("poor", geometry)]}))
+    with pytest.raises(Exception, match="unreadable geometry of zone 1: poor"):
+        read_zones(spark, str(file)).collect()
+    kept = read_zones(spark, str(file), keep_bad=True).orderBy("ord").collect()
+    assert [(r["name"], r["bad"], len(r["edges"])) for r in kept] == [("good", False, 4), ("poor", True, 0)]
+
+
+def test_collections_and_geometries_without_area(spark, tmp_path):
+    parts = [{"type": "Polygon", "coordinates": SQUARE}, {"type": "Point", "coordinates": [9, 9]},
+             {"type": "MultiPolygon", "coordinates": [[[[4, 4], [6, 4], [6, 6], [4, 6]]]]}]
+    file = tmp_path / "zones.geojson"
+    features = [
+        _feature("line", {"type": "LineString", "coordinates": [[0, 0], [5, 5]]}), _feature("none", None),
+        _feature("all", {"type": "GeometryCollection", "geometries": parts}),
+    ]
+    file.write_text(json.dumps({"features": features}))
+    index = build_zone_index(read_zones(spark, str(file)))
+    got = labels(with_zone(points(spark, [(1, 1.0, 1.0), (2, 5.0, 5.0), (3, 3.0, 3.0)]), index))
+    assert got == ["all", "all", "Fuera_de_zona"]
+
+
+def test_text_coordinates(spark, geojson):
+    index = build_zone_index(read_zones(spark, geojson))
+    rows = [(1, "abc", "1"), (2, None, "1"), (3, " 89.5 ", "1e1"), (4, "1.5f", None), (5, "0", "")]
+    df = spark.createDataFrame(rows, "id int, latitude string, longitude string")
+    got = labels(with_zone(df, index))
+    assert got == ["ERROR_COORDENADA", "Desconocida", "Fuera_de_zona", "Desconocida", "ERROR_COORDENADA"]
+    empty = build_zone_index(empty_zones(spark))
+    assert labels(with_zone(df, empty)) == got
 
 
 def test_empty_names_fall_through(spark):
