@@ -187,16 +187,18 @@ class RunLengthIndex:
 
     def _suffixes(self) -> np.ndarray:
         """Order of the suffixes, by doubling the number of compared characters."""
-        n, length = len(self.text), 2
-        key = (self.text.astype(np.uint64) << np.uint64(32)) | np.r_[self.text[1:], np.uint32(0)]
+        n, length = len(self.text), 1
+        rank = self.text.astype(np.int64)
         while True:
+            bits = int(rank.max() + 2).bit_length()
+            key = rank
+            for _ in range(max(2, 63 // bits) - 1 if length == 1 else 1):  # as many ranks as a key holds
+                rank = np.r_[rank[length:], np.full(min(length, n), -1)]
+                key = (key << bits) | (rank + 1)
+            length *= max(2, 63 // bits) if length == 1 else 2
             _, rank = np.unique(key, return_inverse=True)
             if rank.max() == n - 1:
                 return np.argsort(rank)
-            beyond = np.zeros(n, np.int64)
-            beyond[: max(n - length, 0)] = rank[length:] + 1
-            key = rank * (n + 1) + beyond
-            length *= 2
 
     def matching_statistics(self) -> np.ndarray:
         """For every place: how far its suffix matches the one before it in order."""
@@ -316,46 +318,54 @@ def _longer_anchors(rows: DataFrame, length: int, more: int) -> DataFrame:
     it on one side at least, so each is held by one of the two.  Contexts are
     cut to what strings with the longer anchor reach.
     """
-    context, at = F.col("context"), F.col("anchor")
-    size = F.octet_length("context")
-    left = rows.filter(at >= more).withColumns(
-        {"hash": F.xxhash64("hash", F.lit(0), F.substring(context, at - more + 1, F.lit(more))), "anchor": at - more}
-    )
-    right = rows.filter(size - at - length >= more).withColumn(
-        "hash", F.xxhash64("hash", F.lit(1), F.substring(context, at + length + 1, F.lit(more)))
-    )
-    cut = F.greatest(F.lit(0), at - (LENGTH - length - more))
-    return left.unionByName(right).select(
-        "hash", "doc", "unit", (F.col("start") + cut).alias("start"), (at - cut).alias("anchor"),
-        F.substring(context, cut + 1, F.least(size, at + LENGTH) - cut).alias("context"),
-    )
+    context, at, size = F.col("context"), F.col("anchor"), F.octet_length("context")
+
+    def side(fits: Column, key: int, extra: Column, start: Column) -> Column:
+        cut = F.greatest(F.lit(0), start - (LENGTH - length - more))
+        return F.struct(
+            fits.alias("fits"), F.xxhash64("hash", F.lit(key), extra).alias("hash"),
+            (F.col("start") + cut).alias("start"), (start - cut).alias("anchor"),
+            F.substring(context, cut + 1, F.least(size, start + LENGTH) - cut).alias("context"),
+        )
+
+    left = side(at >= more, 0, F.substring(context, at - more + 1, F.lit(more)), at - more)
+    right = side(size - at - length >= more, 1, F.substring(context, at + length + 1, F.lit(more)), at)
+    return rows.select("doc", "unit", F.inline(F.array(left, right))).filter("fits").drop("fits")
 
 
 def _open_ranges(contexts: DataFrame, anchor_rows: int) -> DataFrame:
-    """Ranges (unit, start, stop) that repeat among contexts of one anchor."""
+    """Ranges (unit, start, stop) that repeat among contexts of one anchor.
+
+    Anchors are made longer once before any index is built, which leaves out
+    contexts that share the short anchor alone; and again while an anchor has
+    more than ``anchor_rows`` contexts.
+    """
     rows, length, ranges = contexts, ANCHOR, None
+    place = F.struct("doc", "unit", "start")
+    of_context = Window.partitionBy("hash", "context").orderBy("doc", "unit", "start")
 
-    def also(more: DataFrame) -> None:
+    def also(found: DataFrame) -> None:
         nonlocal ranges
-        ranges = more if ranges is None else ranges.unionByName(more)
+        ranges = found if ranges is None else ranges.unionByName(found)
 
     while True:
-        counts = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        rows = stored(rows.join(counts, "hash"), "repeat-contexts")
         more = -(-(LENGTH - length) // 2)
-        last = more < 4  # the anchor is nearly the whole string: few contexts differ
+        rows = _longer_anchors(rows, length, more)
+        length += more
+        if ranges is not None:  # many contexts of one anchor: equal ones need no index
+            judged = stored(rows.withColumn("open", place == F.first(place).over(of_context)), "repeat-longer")
+            stop = (F.col("start") + F.octet_length("context")).alias("stop")
+            also(judged.filter("not open").select("unit", "start", stop))
+            rows = judged.filter("open").drop("open")
+        met = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hash"))).filter("n > 1")
+        rows = stored(met, "repeat-contexts")
+        last = LENGTH - length < 4  # the anchor is nearly the whole string: few contexts differ
         few = rows if last else rows.filter(F.col("n") <= anchor_rows)
         dealt = few.select("hash", "doc", "unit", "start", "context").repartition("hash").sortWithinPartitions("hash")
         also(stored(dealt.mapInArrow(_index_shards, RANGES), "repeat-ranges"))
-        many = rows.filter(F.col("n") > anchor_rows).drop("n")
-        if last or many.isEmpty():
+        rows = rows.filter(F.col("n") > anchor_rows).drop("n")
+        if last or rows.isEmpty():
             return ranges
-        longer = _longer_anchors(many, length, more)
-        of_context = Window.partitionBy("hash", "context").orderBy("doc", "unit", "start")
-        place = F.struct("doc", "unit", "start")
-        judged = stored(longer.withColumn("open", place == F.first(place).over(of_context)), "repeat-longer")
-        also(judged.filter("not open").select("unit", "start", (F.col("start") + F.octet_length("context")).alias("stop")))
-        rows, length = judged.filter("open").drop("open"), length + more
 
 
 def _cut_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
