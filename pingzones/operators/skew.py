@@ -7,35 +7,32 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key counts as hot from this many rows on ...
+from pingzones.operators.shared_folder import new_folder
+
+# A key counts as hot from this many rows on.
 ROWS_PER_TASK = 2_000_000
-# ... but from no less than this share of all rows, so hot keys stay countable.
-MAX_HOT_KEYS = 10_000
+# Hot keys up to this number are broadcast.
+BROADCAST_KEYS = 1_000_000
 # Largest hash table that one task of a shuffled join is asked to hold.
 HASH_TABLE_BYTES = 64 << 20
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys above the limit with the number of salts each needs.
+    """Keys above the limit, whatever their share, with the number of salts each needs.
 
-    The counts are combined map-side.  A hot key has at least 1/MAX_HOT_KEYS of
-    the rows, so at most MAX_HOT_KEYS rows reach the driver; fixing them there
-    makes both join sides use the same salts even if the input is read again.
+    The counts are combined map-side.  The keys are written, which makes both
+    join sides use the same salts even if the input is read again; there are at
+    most as many as the rows divided by the limit.
     """
-    counts = (
-        df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # The same counts summed up: Spark reuses their shuffle, so df is read once.
-    share = F.ceil(F.coalesce(F.sum("n"), F.lit(0)) / MAX_HOT_KEYS)
-    limit = counts.agg(F.greatest(F.lit(rows_per_task), share).alias("limit")).scalar()
-    rows = (
-        counts.filter(F.col("n") > limit)
-        .select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("salts"))
-        .collect()
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = df.filter(has_key).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.filter(F.col("n") > rows_per_task).select(
+        *keys, F.ceil(F.col("n") / rows_per_task).cast("int").alias("salts")
     )
-    return df.sparkSession.createDataFrame(rows, counts.select(*keys, F.lit(0).alias("salts")).schema)
+    folder = new_folder(df.sparkSession, "hot-keys")
+    hot.write.parquet(folder)
+    kept = df.sparkSession.read.schema(hot.schema).parquet(folder)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_KEYS else kept
 
 
 def row_spread(df: DataFrame, buckets: Column) -> Column:
@@ -53,6 +50,7 @@ def salted_left_join(
     keys: list[str],
     rows_per_task: int = ROWS_PER_TASK,
     right_bytes: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` left-joined to ``right``, which has at most one row per key.
 
@@ -60,11 +58,12 @@ def salted_left_join(
     salt.  Left rows without a key cannot match; their salt spreads them instead
     of letting them meet in one partition.  When ``right_bytes`` shows that the
     right side's share of a partition fits in memory, a hash table is built from
-    it and the left side need not be sorted.
+    it and the left side need not be sorted.  ``hot`` are the hot keys, if known.
     """
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashable = right_bytes is not None and right_bytes / parts <= HASH_TABLE_BYTES
-    hot = F.broadcast(hot_keys(left, keys, rows_per_task))
+    if hot is None:
+        hot = hot_keys(left, keys, rows_per_task)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     spread = left.withColumn("_spread", row_spread(left, F.lit(1 << 30)))
     salted = spread.join(hot, keys, "left").withColumn(

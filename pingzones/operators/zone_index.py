@@ -1,19 +1,23 @@
-"""Grid over the zones, so that a ping looks only at zones near it.
+"""Adaptive grid over the zones, so that a ping looks only at zones near it.
 
 A cell that a zone covers entirely needs no geometry: being in the cell is being
-in the zone.  Only cells that a border runs through keep edges, and of those
-only the ones that a ray leaving the cell eastwards can meet.  Zones after the
-first one that covers a cell entirely can never win there and are left out.
+in the zone.  Only cells that a border runs through keep edges: those that meet
+the cell, and a few upright ones that stand for everything further east.  Zones
+after the first one that covers a cell entirely can never win there and are left
+out.
 
-The grid is split into levels of bounded rows: a cell with more edges than
-``max_edges`` spreads its zones over several levels, each joined in turn, so no
+A cell with more than ``target_edges`` edges is split into ``SIDE`` by ``SIDE``
+cells of the next depth, again and again, unless that spreads its edges instead
+of parting them (many borders along one line).  Cells that stay crowded above
+``max_edges`` spread their zones over several levels, each joined in turn, so no
 row grows with the number of zones that share a place.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +26,21 @@ from pingzones.functions.geometry import cross, odd_crossings
 
 CELLS_PER_ZONE = 1024
 MIN_CELLS_PER_ZONE = 16
-MAX_ENTRIES = 64_000_000
-ZONES_PER_TASK = 200
+# Cells of the first grid, beyond which zones get fewer each.
+MAX_ENTRIES = 100_000
+TARGET_EDGES = 100
 MAX_EDGES_PER_ROW = 50_000
+# A power of two, so that cells of different depths nest exactly.
+SIDE = 4
+MAX_DEPTH = 8
+# A split may repeat the edges of a cell up to this often ...
+MAX_SPREAD = 3
+# ... and all splits together those of the first grid.
+MAX_GROWTH = 4
+# Smallest cell, as a part of the largest coordinate: cell numbers fit 28 bits.
+FINEST = 1e-8
+# Zone cells and edges that one task works on.
+CELLS_PER_TASK, EDGES_PER_TASK = 5_000, 50_000
 # Upper estimates of the bytes of one edge, zone entry and cell in a hash table.
 _EDGE_BYTES, _ENTRY_BYTES, _CELL_BYTES = 48, 128, 96
 WINNER_TYPE = "struct<ord:bigint,name:string>"
@@ -32,12 +48,17 @@ WINNER_TYPE = "struct<ord:bigint,name:string>"
 
 @dataclass
 class ZoneIndex:
-    """Cells by level with the figures that decide how they are joined."""
+    """Cells by level with the figures that decide how they are joined.
+
+    ``splits`` holds, for each depth, the cells that are split further.
+    """
 
     cell: float
     bounds: tuple[float, float, float, float]  # x0, x1, y0, y1
     levels: list[DataFrame]
     bytes_estimate: int
+    splits: list[DataFrame] = field(default_factory=list)
+    split_bytes: int = 0
 
     @property
     def is_empty(self) -> bool:
@@ -45,97 +66,227 @@ class ZoneIndex:
 
     def release(self) -> None:
         """Free the cached cells."""
-        for level in self.levels:
-            level.unpersist()
+        for table in [*self.levels, *self.splits]:
+            table.unpersist()
+
+
+def cell_key(depth: int | str, cx: str, cy: str) -> str:
+    """One number for a cell: depth, column and row."""
+    return f"(CAST({depth} AS BIGINT) * {1 << 56} + ({cx} + {1 << 27}) * {1 << 28} + {cy} + {1 << 27})"
 
 
-def default_cell(n: int, area: float, extent: float) -> float:
-    """Cell side giving the average zone box many cells, fewer if there are many zones."""
+def default_cell(n: int, area: float, extent: float, spans: float = 0.0) -> float:
+    """Cell side giving the average zone box many cells, fewer if there are many zones.
+
+    ``area`` and ``spans`` are sums over the boxes, of their areas and of width
+    plus height; the latter keeps narrow strips from having too many cells.
+    """
     per_zone = max(MIN_CELLS_PER_ZONE, min(CELLS_PER_ZONE, MAX_ENTRIES // n))
-    if area > 0:
-        return math.sqrt(area / (n * per_zone))
+    cell = max(math.sqrt(area / (n * per_zone)), spans / (n * per_zone))
+    if cell > 0:
+        return cell
     return extent / per_zone if extent > 0 else 0.01
 
 
-def _zone_cells(zones: DataFrame, cell: float, reach: float, tasks: int) -> DataFrame:
-    """One row per zone and cell it may touch: ``cx, cy, ord, name, covers, edges``.
+@dataclass
+class _Box:
+    """Borders of cell (cx, cy) as SQL, a little wider than the cell.
 
-    A zone file is one task's input and one zone may fill most of the grid, so
-    beyond a few zones the work is dealt out by zone and grid row.  ``reach`` is
-    the largest coordinate.
+    The slack covers rounding in the cell numbers and in the edge tests;
+    ``reach`` is the largest coordinate.
     """
-    c = f"{cell!r}D"
-    # Covers rounding in floor(x / cell) and in the products of the edge tests.
-    slack = f"{max(cell * 1e-6, reach * 1e-13)!r}D"
-    west, east = f"(cx * {c} - {slack})", f"((cx + 1) * {c} + {slack})"
-    south, north = f"(cy * {c} - {slack})", f"((cy + 1) * {c} + {slack})"
-    corners = ", ".join(cross("e", x, y) for x in (west, east) for y in (south, north))
-    runs_through = f"""
-        least(e.ax, e.bx) <= {east} AND greatest(e.ax, e.bx) >= {west}
-        AND least(e.ay, e.by) <= {north} AND greatest(e.ay, e.by) >= {south}
-        AND NOT (least({corners}) > 0 OR greatest({corners}) < 0)"""
-    middle = f"((cx + 0.5D) * {c})", f"((cy + 0.5D) * {c})"
-
-    rows = (
-        zones.filter("size(edges) > 0")
-        .selectExpr(
-            *("ord", "name", "x0", "x1", "edges"),
-            f"explode(sequence(floor(y0 / {c}), floor(y1 / {c}))) AS cy",
-        )
-        .withColumn(
-            "edges",
-            F.expr(
-                f"filter(edges, e -> greatest(e.ay, e.by) >= {south}"
-                f" AND least(e.ay, e.by) <= {north})"
-            ),
-        )
+
+    cell: float
+    reach: float
+
+    def __post_init__(self):
+        c, slack = f"{self.cell!r}D", f"{max(self.cell * 1e-6, self.reach * 1e-13)!r}D"
+        self.west, self.east = f"(cx * {c} - {slack})", f"((cx + 1) * {c} + {slack})"
+        self.south, self.north = f"(cy * {c} - {slack})", f"((cy + 1) * {c} + {slack})"
+        self.middle = f"((cx + 0.5D) * {c})", f"((cy + 0.5D) * {c})"
+        self.beside = f"greatest(e.ay, e.by) >= {self.south} AND least(e.ay, e.by) <= {self.north}"
+
+    def runs_through(self) -> str:
+        corners = ", ".join(cross("e", x, y) for x in (self.west, self.east) for y in (self.south, self.north))
+        return f"""least(e.ax, e.bx) <= {self.east} AND greatest(e.ax, e.bx) >= {self.west}
+            AND {self.beside} AND NOT (least({corners}) > 0 OR greatest({corners}) < 0)"""
+
+
+def _clipped(cells: DataFrame, box: _Box) -> DataFrame:
+    """``cells`` with only the edges that a ray leaving the cell eastwards needs.
+
+    Of an edge entirely east of the cell only the heights of its ends matter: a
+    ray at height y meets it if one end lies above y and the other does not.
+    Heights that occur twice cancel out, as the inner corners of a border do, and
+    heights above or below the cell are alike.  Upright edges between what is
+    left give the same count for every y of the cell.
+    """
+    c = f"{box.cell!r}D"
+    height = f"""CASE WHEN {{0}} > {box.north} THEN {box.north} + {c}
+        WHEN {{0}} < {box.south} THEN {box.south} - {c} ELSE {{0}} END"""
+    ends = f"flatten(transform(_far, e -> array({height.format('e.ay')}, {height.format('e.by')})))"
+    uncancelled = f"""aggregate(array_sort({ends}), CAST(array() AS array<double>),
+        (left, v) -> CASE WHEN try_element_at(left, -1) = v THEN slice(left, 1, size(left) - 1)
+                          ELSE concat(left, array(v)) END)"""
+    upright = """filter(transform(_heights, (v, i) ->
+        named_struct('ax', _x, 'ay', v, 'bx', _x, 'by', get(_heights, i + 1))), (e, i) -> i % 2 = 0)"""
+    cells = _once(
+        cells,
+        _far=f"filter(edges, e -> least(e.ax, e.bx) > {box.east} AND {box.beside})",
+        _local=f"filter(edges, e -> least(e.ax, e.bx) <= {box.east}"
+        f" AND greatest(e.ax, e.bx) >= {box.west} AND {box.beside})",
+    ).filter("size(_far) > 0 OR size(_local) > 0")
+    cells = _once(cells, _heights=uncancelled, _x="array_max(transform(_far, e -> greatest(e.ax, e.bx)))")
+    return _once(cells.drop("edges"), edges=f"concat(_local, {upright})").drop("_far", "_local", "_heights", "_x")
+
+
+def _once(df: DataFrame, **columns: str) -> DataFrame:
+    """Add columns worked out once a row: later filters are not moved below a generator."""
+    fields = ", ".join(f"'{name}', {value}" for name, value in columns.items())
+    return df.selectExpr("*", f"inline(array(named_struct({fields})))")
+
+
+def _touched(cells: DataFrame, box: _Box) -> DataFrame:
+    """Of zone and cell pairs those that meet: ``cx, cy, ord, name, covers, edges``."""
+    return (
+        _once(_clipped(cells, box), border=f"exists(edges, e -> {box.runs_through()})")
+        .withColumn("covers", F.expr(f"NOT border AND {odd_crossings('edges', *box.middle)}"))
+        .filter("border OR covers")
+        .selectExpr("cx", "cy", "ord", "name", "covers", "IF(border, edges, NULL) AS edges")
     )
+
+
+def _first_grid(zones: DataFrame, box: _Box, tasks: int) -> DataFrame:
+    """Zones by the cells of depth 0.
+
+    A zone file is one task's input and one zone may fill most of the grid, so
+    the work is dealt out by zone and grid row.
+    """
+    c = f"{box.cell!r}D"
+    rows = zones.selectExpr(
+        *("ord", "name", "x0", "x1", "edges"),
+        f"explode(sequence(floor(y0 / {c}), floor(y1 / {c}))) AS cy",
+    ).withColumn("edges", F.expr(f"filter(edges, e -> {box.beside})"))
     if tasks > 1:
         rows = rows.repartition(tasks, "ord", "cy")
     cells = rows.selectExpr(
         *("ord", "name", "edges", "cy"),
         f"explode(sequence(floor(x0 / {c}), floor(x1 / {c}))) AS cx",
-    ).withColumn("edges", F.expr(f"filter(edges, e -> greatest(e.ax, e.bx) >= {west})"))
-    return (
-        cells.withColumn("border", F.expr(f"exists(edges, e -> {runs_through})"))
-        .withColumn("covers", F.expr(f"NOT border AND {odd_crossings('edges', *middle)}"))
-        .filter("border OR covers")
-        .selectExpr(
-            *("CAST(cx AS INT) AS cx", "CAST(cy AS INT) AS cy", "ord", "name", "covers"),
-            "IF(border, edges, NULL) AS edges",
-        )
     )
+    return _touched(cells, box)
+
+
+def _children(entries: DataFrame, box: _Box) -> DataFrame:
+    """Zones by the cells of the next depth; ``box`` is of that depth.
+
+    Dealt out by zone as well, as one crowded cell may hold most of the work.
+    """
+    entries = entries.repartition("ord", "cx", "cy")
+    for axis in ("cx", "cy"):
+        steps = f"explode(sequence({axis} * {SIDE}, {axis} * {SIDE} + {SIDE - 1})) AS {axis}"
+        entries = entries.selectExpr(*[k for k in entries.columns if k != axis], steps)
+    covered = entries.filter("covers").select("cx", "cy", "ord", "name", "covers", "edges")
+    return covered.unionByName(_touched(entries.filter("NOT covers"), box))
+
+
+def _crowding(entries: DataFrame) -> tuple[DataFrame, int, int]:
+    """Edges of each cell (``before``), of all cells and of the fullest."""
+    cells = entries.groupBy("cx", "cy").agg(F.sum(_edges_of("edges")).alias("before"))
+    total, most = cells.agg(F.sum("before"), F.max("before")).first()
+    return cells, total or 0, most or 0
+
+
+def _edges_of(edges: str) -> Column:
+    return F.coalesce(F.size(edges), F.lit(0)).cast("bigint")
+
+
+@dataclass
+class _Refined:
+    """Entries of all depths, with what else ``_refine`` found."""
+
+    entries: DataFrame
+    most: int  # edges of the fullest cell
+    splits: list[DataFrame]
+    n_splits: int
+    cached: list[DataFrame]
+
+
+def _refine(entries: DataFrame, cell: float, reach: float, target: int) -> _Refined:
+    """Split crowded cells where that parts their edges."""
+    current = _reachable(entries).persist()
+    cells, total, most = _crowding(current)
+    cached, parts, splits, n_splits = [current], [], [], 0
+    budget, fullest = MAX_GROWTH * total, [most]
+    for depth in range(MAX_DEPTH):
+        cell /= SIDE
+        if most <= target or cell < reach * FINEST:
+            break
+        crowded = cells.filter(F.col("before") > target)
+        inner = current.join(crowded, ["cx", "cy"], "left_semi")
+        tried = _reachable(_children(inner, _Box(cell, reach))).persist()
+        up = {a: F.floor(F.col(a) / SIDE) for a in ("cx", "cy")}
+        worth = (
+            tried.groupBy(up["cx"].alias("cx"), up["cy"].alias("cy"))
+            .agg(F.sum(_edges_of("edges")).alias("after"))
+            .join(crowded, ["cx", "cy"])
+            .filter(F.col("after") <= MAX_SPREAD * F.col("before"))
+            .persist()
+        )
+        cached += [tried, worth]
+        s = worth.agg(F.count(F.lit(1)), F.sum(F.col("after") - F.col("before"))).first()
+        if not s[0] or total + s[1] > budget:
+            break
+        total, n_splits = total + s[1], n_splits + s[0]
+        chosen = worth.select("cx", "cy")
+        splits.append(chosen.selectExpr(f"{cell_key(depth, 'cx', 'cy')} AS cell").persist())
+        left = current.join(chosen, ["cx", "cy"], "left_anti")
+        parts.append(left.withColumn("depth", F.lit(depth)))
+        fullest[-1] = _crowding(left)[2]
+        parents = chosen.withColumnsRenamed({"cx": "_px", "cy": "_py"})
+        is_child = (up["cx"] == F.col("_px")) & (up["cy"] == F.col("_py"))
+        current = tried.join(parents, is_child, "left_semi").persist()
+        cached.append(current)
+        cells, _, most = _crowding(current)
+        fullest.append(most)
+    parts.append(current.withColumn("depth", F.lit(len(splits))))
+    return _Refined(reduce(DataFrame.unionByName, parts), max(fullest), splits, n_splits, cached)
 
 
 def build_zone_index(
-    zones: DataFrame, cell: float | None = None, max_edges: int = MAX_EDGES_PER_ROW
+    zones: DataFrame,
+    cell: float | None = None,
+    max_edges: int = MAX_EDGES_PER_ROW,
+    target_edges: int = TARGET_EDGES,
 ) -> ZoneIndex:
     """Index a zone table.  Runs a few small jobs over the zones; the cells stay cached."""
-    s = zones.filter(F.size("edges") > 0).agg(
+    usable = zones.filter(F.size("edges") > 0).persist()
+    width, height = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    s = usable.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("area"),
+        F.sum(width * height).alias("area"),
+        F.sum(width + height).alias("spans"),
+        F.sum(_edges_of("edges")).alias("edges"),
         F.min("x0").alias("x0"),
         F.max("x1").alias("x1"),
         F.min("y0").alias("y0"),
         F.max("y1").alias("y1"),
     ).first()
     if s["n"] == 0:
+        usable.unpersist()
         return ZoneIndex(cell or 0.01, (0.0, 0.0, 0.0, 0.0), [], 0)
-    cell = cell or default_cell(s["n"], s["area"], max(s["x1"] - s["x0"], s["y1"] - s["y0"]))
     bounds = (s["x0"], s["x1"], s["y0"], s["y1"])
-
     reach = max(abs(b) for b in bounds)
-    entries = _zone_cells(zones, cell, reach, math.ceil(s["n"] / ZONES_PER_TASK)).persist()
-    most = _most_edges(entries)
-    if most > max_edges:
-        # Crowded cells: first leave out what cannot win, however much that is.
-        everything, entries = entries, _reachable(entries).persist()
-        most = _most_edges(entries)
-        everything.unpersist()
-    n_levels = max(1, math.ceil(most / max_edges))
-    border = ~F.col("covers")
+    extent = max(s["x1"] - s["x0"], s["y1"] - s["y0"])
+    cell = max(cell or default_cell(s["n"], s["area"], extent, s["spans"]), reach * FINEST)
+    n_cells = usable.agg(F.sum((F.floor(width / cell) + 2) * (F.floor(height / cell) + 2))).first()[0]
+    tasks = math.ceil(max(n_cells / CELLS_PER_TASK, s["edges"] / EDGES_PER_TASK))
+
+    first = _first_grid(usable, _Box(cell, reach), tasks).persist()
+    refined = _refine(first, cell, reach, target_edges)
+    entries = refined.entries.withColumn("cell", F.expr(cell_key("depth", "cx", "cy")))
+    n_levels = max(1, math.ceil(refined.most / max_edges))
     spread = entries.withColumn(
-        "level", F.when(border, F.pmod(F.xxhash64("ord"), F.lit(n_levels))).otherwise(0)
+        "level", F.when(~F.col("covers"), F.pmod(F.xxhash64("ord"), F.lit(n_levels))).otherwise(0)
     )
     levels = [_level(spread.filter(F.col("level") == k)).persist() for k in range(n_levels)]
     size = 0
@@ -147,14 +298,11 @@ def build_zone_index(
         ).first()
         size += m["cells"] * _CELL_BYTES
         size += (m["entries"] or 0) * _ENTRY_BYTES + (m["edges"] or 0) * _EDGE_BYTES
-    entries.unpersist()
-    return ZoneIndex(cell, bounds, levels, size)
-
-
-def _most_edges(entries: DataFrame) -> int:
-    """Edges of the most crowded cell, from sums combined map-side."""
-    edges = F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("edges")
-    return entries.groupBy("cx", "cy").agg(edges).agg(F.max("edges")).first()[0] or 0
+    for split in refined.splits:
+        split.count()  # cached before what it is made from is freed
+    for table in [usable, first, *refined.cached]:
+        table.unpersist()
+    return ZoneIndex(cell, bounds, levels, size, refined.splits, refined.n_splits * _CELL_BYTES)
 
 
 def _reachable(entries: DataFrame) -> DataFrame:
@@ -169,18 +317,14 @@ def _reachable(entries: DataFrame) -> DataFrame:
 
 def _level(entries: DataFrame) -> DataFrame:
     """One row per cell: the first zone covering it and the border zones before that one."""
-    grouped = entries.groupBy("cx", "cy").agg(
+    grouped = entries.groupBy("cell").agg(
+        *[F.first(c).alias(c) for c in ("depth", "cx", "cy")],
         F.min(F.when(F.col("covers"), F.struct("ord", "name"))).alias("covering"),
         F.array_sort(
             F.collect_list(F.when(~F.col("covers"), F.struct("ord", "name", "edges")))
         ).alias("near"),
     )
-    reachable = F.filter(
-        "near", lambda z: F.col("covering").isNull() | (z["ord"] < F.col("covering.ord"))
-    )
-    return grouped.withColumn("near", reachable).withColumn(
-        "near", F.when(F.size("near") > 0, F.col("near"))
-    )
+    return grouped.withColumn("near", F.when(F.size("near") > 0, F.col("near")))
 
 
 def _edge_count(near: str) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from pingzones.functions.geometry import strictly_inside
 from pingzones.functions.parsing import parse_coordinate
-from pingzones.operators.skew import ROWS_PER_TASK, salted_left_join
-from pingzones.operators.zone_index import WINNER_TYPE, ZoneIndex
+from pingzones.operators.skew import ROWS_PER_TASK, hot_keys, salted_left_join
+from pingzones.operators.zone_index import SIDE, WINNER_TYPE, ZoneIndex, cell_key
 from pingzones.schema import BAD_COORDINATE, OUTSIDE, UNKNOWN
 
 # An index above this size is joined by shuffling instead of broadcasting.
@@ -22,6 +22,12 @@ def _first_inside(near: str, lon: str, lat: str) -> str:
                              THEN named_struct('ord', z.ord, 'name', z.name) END))"""
 
 
+def _key_at(depth: str) -> str:
+    """Cell of a ping at a depth; the numbers of deeper cells are exact multiples."""
+    scale = f"CAST(shiftleft(1L, {SIDE.bit_length() - 1} * {depth}) AS DOUBLE)"
+    return cell_key(depth, f"floor(_gx * {scale})", f"floor(_gy * {scale})")
+
+
 def fits_broadcast(index: ZoneIndex, broadcast_limit: int = BROADCAST_LIMIT) -> bool:
     return index.bytes_estimate <= broadcast_limit
 
@@ -65,24 +71,31 @@ def with_zone(
     # NaN and anything off the map fails this test and gets no cell.
     on_map = f"{lon} BETWEEN {x0} AND {x1} AND {lat} BETWEEN {y0} AND {y1}"
     located = pings.withColumns(
-        {
-            cell: F.expr(f"CASE WHEN {on_map} THEN CAST(floor({c} / {index.cell!r}D) AS INT) END")
-            for cell, c in (("_cx", lon), ("_cy", lat))
-        }
+        {at: F.expr(f"CASE WHEN {on_map} THEN {c} / {index.cell!r}D END") for at, c in (("_gx", lon), ("_gy", lat))}
     )
     small = fits_broadcast(index, broadcast_limit)
+    depth = "0"
+    for k, split in enumerate(index.splits):
+        side = split.selectExpr("cell AS _cell", f"1 AS _split{k}")
+        located = located.withColumn("_cell", F.expr(_key_at(str(k))))
+        if index.split_bytes <= broadcast_limit:
+            located = located.join(F.broadcast(side), "_cell", "left")
+        else:
+            located = salted_left_join(located, side, ["_cell"], rows_per_task, index.split_bytes)
+        # A split cell lies in split cells of all depths before.
+        depth += f" + coalesce(_split{k}, 0)"
+    used = ["_gx", "_gy", *[f"_split{k}" for k in range(len(index.splits))]]
+    located = located.withColumn("_cell", F.expr(_key_at(f"({depth})"))).drop(*used)
+    # The same keys at every level, so the hot ones are looked for once.
+    hot = None if small else hot_keys(located, ["_cell"], rows_per_task)
     winners = []
     for k, level in enumerate(index.levels):
         near, covering = f"_near{k}", f"_covering{k}"
-        side = level.selectExpr(
-            "cx AS _cx", "cy AS _cy", f"near AS {near}", f"covering AS {covering}"
-        )
+        side = level.selectExpr("cell AS _cell", f"near AS {near}", f"covering AS {covering}")
         if small:
-            located = located.join(F.broadcast(side), ["_cx", "_cy"], "left")
+            located = located.join(F.broadcast(side), "_cell", "left")
         else:
-            located = salted_left_join(
-                located, side, ["_cx", "_cy"], rows_per_task, index.bytes_estimate
-            )
+            located = salted_left_join(located, side, ["_cell"], rows_per_task, index.bytes_estimate, hot)
         hit = f"CASE WHEN {near} IS NOT NULL THEN {_first_inside(near, lon, lat)} END"
         if len(index.levels) == 1:
             # Every near zone precedes the covering one.
