@@ -12,8 +12,10 @@ marked in a bitfield and never tried again, so the work stays linear.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from array import array
+from collections.abc import Iterator
+from dataclasses import dataclass, fields
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -27,8 +29,8 @@ from pyspark.sql import types as T
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE, MERGE_TYPE = 1, 2, 3, 6, 2
 UNKNOWN_TEXT, WRONG_BYTE = " ⁇ ", "�"
-# Segments and pairs that a task remembers, and the longest segment it does.
-REMEMBERED = 400_000
+# Words and pairs that a Python worker remembers, and the longest such word: some 200 MB.
+REMEMBERED = 800_000
 REMEMBERED_LENGTH = 48
 # Ids that a task collects before it hands on a batch.
 BATCH_IDS = 1 << 20
@@ -51,6 +53,18 @@ class PieceModel:
     # No piece goes on behind a space mark, so words can be encoded alone.
     by_word: bool
 
+    # Made once a process: a task finds what earlier ones in its worker have remembered.
+    @cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(self)
+
+    @cached_property
+    def decoder(self) -> Decoder:
+        return Decoder(self)
+
+    def __getstate__(self):
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
 
 def remerged_steps(text: str, scores: dict[str, float]) -> Iterator[list[str]]:
     """The parts of ``text`` before and after each merge: best score first, of equal scores the leftmost."""
@@ -130,8 +144,10 @@ class Encoder:
             self.matches.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.edges: dict[tuple[str, int], list[str]] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self.segments = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if model.by_word else "(?s).+")
+        in_pieces = set().union(*model.ids)
+        self.mark = next(chr(c) for c in range(0x110000) if chr(c) not in in_pieces)
 
     def of(self, piece: str) -> int:
         at = self.model.ids.get(piece)
@@ -166,63 +182,76 @@ class Encoder:
         # Of the matches at a place the longest comes first, so it is put in last.
         return dict(reversed(list(self.matches.iter(text[::-1]))))
 
-    def pieces(self, text: str) -> list[int]:
-        """The pieces of a text that is not empty."""
-        n, n_ids, lengths, shorter, pairs = len(text), self.n_ids, self.lengths, self.shorter, self.pairs
-        longest = self.longest(text)
-        given_up = bytearray(n // 8 + 1)
-        taken: list[int] = []
-        at, last, piece = 0, None, longest.get(n - 1)
-        if piece is None:
-            piece = n_ids + ord(text[0])
-        while True:
-            end = at + (lengths[piece] if piece < n_ids else 1)
-            fits = not given_up[end >> 3] >> (end & 7) & 1
-            if fits and last is not None:
-                fits = pairs.get(last << 22 | piece)
-                if fits is None:
-                    if len(pairs) >= REMEMBERED:
-                        pairs.clear()
-                    fits = pairs[last << 22 | piece] = self.go_together(last, piece)
-            if fits:
-                taken.append(piece)
-                if end == n:
-                    return taken
-                at, last, piece = end, piece, longest.get(n - 1 - end)
-                if piece is None:
-                    piece = n_ids + ord(text[end])
-                continue
-            piece = shorter.get(piece)
+    def pieces(self, words: list[str]) -> Iterator[list[int]]:
+        """The pieces of each word; none of them is empty.
+
+        The words lie in one text, between marks that are in no piece, so the
+        automaton runs once for all.
+        """
+        n_ids, lengths, shorter, pairs = self.n_ids, self.lengths, self.shorter, self.pairs
+        text = self.mark.join(words)
+        longest, top = self.longest(text), len(text) - 1
+        given_up, stepped_back = bytearray(len(text) // 8 + 1), False
+        at = 0
+        for word in words:
+            taken: list[int] = []
+            stop, last = at + len(word), None
+            piece = longest.get(top - at)
             if piece is None:
-                given_up[at >> 3] |= 1 << (at & 7)
-                piece = taken.pop()
-                at -= lengths[piece] if piece < n_ids else 1
-                last = taken[-1] if taken else None
-
-    def _ids_of(self, segment: str) -> list[int]:
-        taken, n_ids, byte_ids = self.pieces(segment), self.n_ids, self.model.byte_ids
-        if max(taken) < n_ids:
-            return taken
-        spelled = ([i] if i < n_ids else [byte_ids[b] for b in chr(i - n_ids).encode()] for i in taken)
-        return [i for one in spelled for i in one]
-
-    def encode(self, text: str) -> list[int]:
+                # A character that no piece starts with stands for itself.
+                piece = n_ids + ord(text[at])
+            while True:
+                end = at + (lengths[piece] if piece < n_ids else 1)
+                if last is None:
+                    fits = True
+                else:
+                    fits = pairs.get(last << 22 | piece)
+                    if fits is None:
+                        if len(pairs) >= REMEMBERED:
+                            pairs.clear()
+                        fits = pairs[last << 22 | piece] = self.go_together(last, piece)
+                if fits and not (stepped_back and given_up[end >> 3] >> (end & 7) & 1):
+                    taken.append(piece)
+                    if end == stop:
+                        break
+                    at, last = end, piece
+                    piece = longest.get(top - end)
+                    if piece is None:
+                        piece = n_ids + ord(text[end])
+                    continue
+                piece = shorter.get(piece)
+                if piece is None:
+                    stepped_back = True
+                    given_up[at >> 3] |= 1 << (at & 7)
+                    piece = taken.pop()
+                    at -= lengths[piece] if piece < n_ids else 1
+                    last = taken[-1] if taken else None
+            at = stop + 1
+            yield taken
+
+    def _ids_of(self, taken: list[int]) -> bytes:
+        n_ids, byte_ids = self.n_ids, self.model.byte_ids
+        if max(taken) >= n_ids:
+            spelled = ([i] if i < n_ids else [byte_ids[b] for b in chr(i - n_ids).encode()] for i in taken)
+            taken = [i for one in spelled for i in one]
+        return array("i", taken).tobytes()
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text, 32 bits each."""
         if not text:
-            return []
+            return np.empty(0, np.int32)
         marked = (SPACE if self.model.prefix else "") + text.replace(" ", SPACE)
-        out: list[int] = []
-        words = self.words
-        for match in self.segments.finditer(marked):
-            segment = match.group()
-            ids = words.get(segment)
-            if ids is None:
-                ids = self._ids_of(segment)
-                if len(segment) <= REMEMBERED_LENGTH:
-                    if len(words) >= REMEMBERED:
-                        words.clear()
-                    words[segment] = ids
-            out += ids
-        return out
+        segments = self.segments.findall(marked)
+        # Ids of words are kept as bytes, which are joined without looking into them.
+        found = list(map(self.words.get, segments))
+        if None in found:
+            new = [w for w in dict.fromkeys(segments) if w not in self.words]
+            made = dict(zip(new, map(self._ids_of, self.pieces(new))))
+            found = [made[w] if ids is None else ids for w, ids in zip(segments, found)]
+            if len(self.words) + len(made) > REMEMBERED:
+                self.words.clear()
+            self.words.update((w, ids) for w, ids in made.items() if len(w) <= REMEMBERED_LENGTH)
+        return np.frombuffer(b"".join(found), np.int32)
 
 
 def _bytes_to_text(raw: bytes) -> str:
@@ -246,28 +275,39 @@ def _bytes_to_text(raw: bytes) -> str:
     return "".join(out)
 
 
-def decode_ids(ids: Iterable[int], model: PieceModel) -> str:
-    """The text of ``ids``; an id outside the vocabulary raises IndexError."""
-    out, raw, start = [], bytearray(), model.prefix
-    for i in ids:
-        byte = model.bytes_.get(i)
-        if byte is not None:
-            raw.append(byte)
-            continue
-        if raw:
-            out.append(_bytes_to_text(bytes(raw)))
-            raw.clear()
-            start = False
-        if i < 0:
-            raise IndexError(i)
-        piece = model.texts[i]
-        if start and piece:
-            # The mark put before the text is taken away again, once.
-            piece, start = piece.removeprefix(" ") if i != model.unknown else piece, False
-        out.append(piece)
-    if raw:
-        out.append(_bytes_to_text(bytes(raw)))
-    return "".join(out)
+class Decoder:
+    """Texts of ids, by tables."""
+
+    def __init__(self, model: PieceModel):
+        self.prefix, self.unknown = model.prefix, model.unknown
+        self.bytes = np.zeros(len(model.texts), np.uint8)
+        self.bytes[list(model.bytes_)] = list(model.bytes_.values())
+        # An ASCII byte is a character wherever it stands; others count together.
+        self.part = self.bytes >= 0x80
+        self.is_byte = np.zeros(len(model.texts), bool)
+        self.is_byte[list(model.bytes_)] = True
+        spelled = [chr(model.bytes_[i]) if i in model.bytes_ else t for i, t in enumerate(model.texts)]
+        self.texts = np.array(spelled, object)
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ``ids``; an id outside the vocabulary raises IndexError."""
+        if not len(ids):
+            return ""
+        if ids.min() < 0:
+            raise IndexError(int(ids.min()))
+        texts = self.texts[ids]
+        part = self.part[ids]
+        if part.any():
+            edges = np.flatnonzero(np.diff(part, prepend=False, append=False))
+            for start, end in edges.reshape(-1, 2).tolist():
+                texts[start] = _bytes_to_text(self.bytes[ids[start:end]].tobytes())
+                texts[start + 1 : end] = ""
+        if self.prefix:
+            # The mark put before the text is taken away again: from the first id that shows.
+            first = next((k for k, t in enumerate(texts) if t), 0)
+            if ids[first] != self.unknown and not self.is_byte[ids[first]]:
+                texts[first] = texts[first].removeprefix(" ")
+        return "".join(texts.tolist())
 
 
 def _ids_column(texts: pa.Array, encoder: Encoder) -> Iterator[pa.Array]:
@@ -280,7 +320,7 @@ def _ids_column(texts: pa.Array, encoder: Encoder) -> Iterator[pa.Array]:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
 
     for text in texts:
-        lists.append(np.array(encoder.encode(text.as_py() or ""), np.int32))
+        lists.append(encoder.encode(text.as_py() or ""))
         total += len(lists[-1])
         if total >= BATCH_IDS:
             yield handed_on()
@@ -288,6 +328,13 @@ def _ids_column(texts: pa.Array, encoder: Encoder) -> Iterator[pa.Array]:
     yield handed_on()
 
 
+def _texts_column(lists: pa.ListArray, decoder: Decoder) -> pa.Array:
+    """The texts of a column of id lists; a null list has no ids."""
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    return pa.array([decoder.decode(part) for part in np.split(ids, ends)[:-1]], pa.string())
+
+
 def _with_column(
     rows: DataFrame, model: PieceModel, source: str, out: str, kind: T.DataType, carry: list[str] | None, values
 ) -> DataFrame:
@@ -312,15 +359,11 @@ def _with_column(
 
 
 def _encoding(model: PieceModel):
-    encoder = Encoder(model)
-    return lambda texts: _ids_column(texts, encoder)
+    return lambda texts: _ids_column(texts, model.encoder)
 
 
 def _decoding(model: PieceModel):
-    def make(lists: pa.Array) -> Iterator[pa.Array]:
-        yield pa.array([decode_ids(x.as_py() or (), model) for x in lists], pa.string())
-
-    return make
+    return lambda lists: [_texts_column(lists, model.decoder)]
 
 
 def encode(
