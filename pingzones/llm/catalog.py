@@ -98,8 +98,7 @@ def piece_model_path() -> str:
 def op13_piece_codec(spark, sf_dir):
     model = pieces.load_model(piece_model_path())
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = pieces.encode(docs, model, carry=["doc_id"])
-    return pieces.decode(encoded, model, text="decoded").select(
+    return pieces.encode(docs, model, carry=["doc_id"], decoded="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -144,7 +144,9 @@ class Encoder:
             self.matches.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.edges: dict[tuple[str, int], list[str]] = {}
+        # Words met last, and those met before them.
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.segments = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if model.by_word else "(?s).+")
         in_pieces = set().union(*model.ids)
         self.mark = next(chr(c) for c in range(0x110000) if chr(c) not in in_pieces)
@@ -245,12 +247,13 @@ class Encoder:
         # Ids of words are kept as bytes, which are joined without looking into them.
         found = list(map(self.words.get, segments))
         if None in found:
-            new = [w for w in dict.fromkeys(segments) if w not in self.words]
-            made = dict(zip(new, map(self._ids_of, self.pieces(new))))
-            found = [made[w] if ids is None else ids for w, ids in zip(segments, found)]
-            if len(self.words) + len(made) > REMEMBERED:
-                self.words.clear()
-            self.words.update((w, ids) for w, ids in made.items() if len(w) <= REMEMBERED_LENGTH)
+            new = {w: self.older.get(w) for w, ids in zip(segments, found) if ids is None}
+            unknown = [w for w, ids in new.items() if ids is None]
+            new.update(zip(unknown, map(self._ids_of, self.pieces(unknown))))
+            found = [new[w] if ids is None else ids for w, ids in zip(segments, found)]
+            if len(self.words) + len(new) > REMEMBERED // 2:
+                self.older, self.words = self.words, {}
+            self.words.update((w, ids) for w, ids in new.items() if len(w) <= REMEMBERED_LENGTH)
         return np.frombuffer(b"".join(found), np.int32)
 
 
@@ -310,17 +313,19 @@ class Decoder:
         return "".join(texts.tolist())
 
 
-def _ids_column(texts: pa.Array, encoder: Encoder) -> Iterator[pa.Array]:
-    """Arrays of id lists, as many texts at a time as give about ``BATCH_IDS``."""
-    lists, total = [], 0
+def _encoded(texts: pa.Array, model: PieceModel, decoded: bool) -> Iterator[list[pa.Array]]:
+    """Id lists, and texts made of them, for as many texts at a time as give about ``BATCH_IDS``."""
+    lists: list[np.ndarray] = []
 
-    def handed_on() -> pa.Array:
+    def handed_on() -> list[pa.Array]:
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
         values = np.concatenate([np.empty(0, np.int32), *lists])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+        return [ids, pa.array(map(model.decoder.decode, lists), pa.string())] if decoded else [ids]
 
+    total = 0
     for text in texts:
-        lists.append(encoder.encode(text.as_py() or ""))
+        lists.append(model.encoder.encode(text.as_py() or ""))
         total += len(lists[-1])
         if total >= BATCH_IDS:
             yield handed_on()
@@ -335,47 +340,43 @@ def _texts_column(lists: pa.ListArray, decoder: Decoder) -> pa.Array:
     return pa.array([decoder.decode(part) for part in np.split(ids, ends)[:-1]], pa.string())
 
 
-def _with_column(
-    rows: DataFrame, model: PieceModel, source: str, out: str, kind: T.DataType, carry: list[str] | None, values
+def _with_columns(
+    rows: DataFrame, model: PieceModel, source: str, out: dict[str, T.DataType], carry: list[str] | None, values
 ) -> DataFrame:
-    """``rows`` with column ``out``: ``values(column, model)`` yields it in parts, in order."""
-    kept = [c for c in (rows.columns if carry is None else carry) if c != out]
+    """``rows`` with columns ``out``: ``values(column, model)`` yields them in parts, in order."""
+    kept = [c for c in (rows.columns if carry is None else carry) if c not in out]
     # Columns go by their place, as Arrow functions take no names with dots.
-    places = [f"c{i}" for i in range(len(kept) + 1)]
-    given = rows.select(*[F.col(f"`{c}`") for c in [*kept, source]]).toDF(*places)
+    given = rows.select(*[F.col(f"`{c}`") for c in [*kept, source]]).toDF(*[f"c{i}" for i in range(len(kept) + 1)])
+    places = [f"c{i}" for i in range(len(kept) + len(out))]
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = values(shared.value)
         for batch in batches:
             at = 0
-            for part in make(batch.column(len(kept))):
-                others = [c.slice(at, len(part)) for c in batch.columns[: len(kept)]]
-                at += len(part)
-                yield pa.RecordBatch.from_arrays([*others, part], places)
+            for parts in values(batch.column(len(kept)), shared.value):
+                others = [c.slice(at, len(parts[0])) for c in batch.columns[: len(kept)]]
+                at += len(parts[0])
+                yield pa.RecordBatch.from_arrays([*others, *parts], places)
 
-    made = T.StructType([*given.schema.fields[:-1], T.StructField(places[-1], kind)])
-    return given.mapInArrow(run, made).toDF(*kept, out)
-
-
-def _encoding(model: PieceModel):
-    return lambda texts: _ids_column(texts, model.encoder)
-
-
-def _decoding(model: PieceModel):
-    return lambda lists: [_texts_column(lists, model.decoder)]
+    made = [T.StructField(c, kind) for c, kind in zip(places[len(kept) :], out.values())]
+    return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], *made])).toDF(*kept, *out)
 
 
 def encode(
-    docs: DataFrame, model: PieceModel, text: str = "text", ids: str = "ids", carry: list[str] | None = None
+    docs: DataFrame, model: PieceModel, text: str = "text", ids: str = "ids", carry: list[str] | None = None,
+    decoded: str | None = None,
 ) -> DataFrame:
     """The columns ``carry`` (default: all) of every row, with the ids of its text.
 
-    A null or empty text has none; texts are encoded whole, however long; equal
-    rows get equal ids; an empty table stays empty.  A column named like the new
-    one is replaced.
+    With ``decoded`` that column holds the text decoded from the ids again, in the
+    same pass.  A null or empty text has no ids; texts are encoded whole, however
+    long; equal rows get equal ids; an empty table stays empty.  Columns named like
+    the new ones are replaced.
     """
-    return _with_column(docs, model, text, ids, T.ArrayType(T.IntegerType()), carry, _encoding)
+    out: dict[str, T.DataType] = {ids: T.ArrayType(T.IntegerType())}
+    if decoded is not None:
+        out[decoded] = T.StringType()
+    return _with_columns(docs, model, text, out, carry, lambda c, m: _encoded(c, m, decoded is not None))
 
 
 def decode(
@@ -385,4 +386,5 @@ def decode(
 
     Null ids give an empty text.  A column named like the new one is replaced.
     """
-    return _with_column(rows, model, ids, text, T.StringType(), carry, _decoding)
+    values = lambda lists, m: [[_texts_column(lists, m.decoder)]]
+    return _with_columns(rows, model, ids, {text: T.StringType()}, carry, values)

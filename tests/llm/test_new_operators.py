@@ -289,6 +289,10 @@ def test_codec_on_awkward_rows(spark, library, model, monkeypatch):
     assert len(back) == len(rows)
     for r in back:
         assert r["ids"] == library.encode(r["text"] or "") and r["decoded"] == library.decode(r["ids"])
+    at_once = pieces.encode(df, model, ids="a.b", carry=["doc_id"], decoded="text")
+    assert at_once.columns == ["doc_id", "a.b", "text"]
+    again = pieces.decode(encoded, model, text="decoded").select("doc_id", F.col("ids").alias("a.b"), F.col("decoded").alias("text"))
+    assert sorted(map(tuple, at_once.collect())) == sorted(map(tuple, again.collect()))
     assert pieces.encode(df.limit(0), model).collect() == []
     nothing = spark.createDataFrame([(None,)], "ids array<int>")
     assert pieces.decode(nothing, model).first()["text"] == ""
