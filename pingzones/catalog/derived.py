@@ -119,6 +119,32 @@ def sample_zones(spark: SparkSession) -> DataFrame:
     return zones_from_features(spark.createDataFrame(rows, FEATURE_DDL))
 
 
+# A point a ping on, or a billionth of a degree beside, one of the slanted edges of
+# the sample zones: (start, step) of longitude and latitude, a thousand steps an edge.
+SLANTED_EDGES = (
+    (("-63.00", "0.00005"), ("-17.80", "0.0001")),
+    (("-62.90", "-0.00005"), ("-17.80", "0.0001")),
+    (("-62.88", "0.00003"), ("-17.75", "0.00007")),
+    (("-62.82", "-0.00003"), ("-17.75", "0.00007")),
+)
+
+
+def _along(axis: int, beside: str) -> str:
+    cases = " ".join(
+        f"WHEN {k} THEN CAST('{edge[axis][0]}' AS DECIMAL(12, 9))"
+        f" + CAST(event_id % 1001 AS DECIMAL(4, 0)) * CAST('{edge[axis][1]}' AS DECIMAL(12, 9))"
+        for k, edge in enumerate(SLANTED_EDGES)
+    )
+    return f"CAST(CAST(CASE event_id % {len(SLANTED_EDGES)} {cases} END + {beside} AS DECIMAL(12, 9)) AS DOUBLE)"
+
+
+SLANTED_POINTS = {
+    "id": "CAST(event_id AS INT)",
+    "longitude": _along(0, "CAST((event_id % 3) - 1 AS DECIMAL(1, 0)) * CAST('0.000000001' AS DECIMAL(12, 9))"),
+    "latitude": _along(1, "CAST('0' AS DECIMAL(12, 9))"),
+}
+
+
 # One zone a supplier: a rectangle or a triangle, of one of seven sizes.
 SUPPLIER_X = (
     "CAST('-63.34' AS DOUBLE) + CAST((s_suppkey * 104729) % 54000 AS DOUBLE) / CAST(100000 AS DOUBLE)"
@@ -155,6 +181,42 @@ def supplier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A crowded map as boxes (ord, name, x0, y0, x1, y1): a small one a customer, all
+# within two hundredths of a degree; behind them four large ones, and between a
+# strip across the map, from the five regions.
+CROWDED_BOXES = """
+    SELECT c_custkey AS ord, c_name AS name, x - r AS x0, y - r AS y0, x + r AS x1, y + r AS y1
+    FROM (SELECT c_custkey, c_name,
+                 CAST('-63.21' AS DOUBLE) + CAST((c_custkey * 104729) % 2000 AS DOUBLE) / CAST(100000 AS DOUBLE) AS x,
+                 CAST('-17.74' AS DOUBLE) + CAST((c_custkey * 7919) % 2000 AS DOUBLE) / CAST(100000 AS DOUBLE) AS y,
+                 CAST(1 + c_custkey % 7 AS DOUBLE) / CAST(20000 AS DOUBLE) AS r
+          FROM customer) AS small
+    UNION ALL
+    SELECT 1000000000000 + r_regionkey, r_name, x, y, x + CAST('0.27' AS DOUBLE), y + CAST('0.17' AS DOUBLE)
+    FROM (SELECT r_regionkey, r_name,
+                 CAST('-63.34' AS DOUBLE) + CAST(r_regionkey % 2 AS DOUBLE) / CAST(4 AS DOUBLE) AS x,
+                 CAST('-17.94' AS DOUBLE) + CAST((r_regionkey - r_regionkey % 2) AS DOUBLE) / CAST(13 AS DOUBLE) AS y
+          FROM region WHERE r_regionkey < 4) AS large
+    UNION ALL
+    SELECT 500000000000, r_name, CAST('-63.4' AS DOUBLE), CAST('-17.7303' AS DOUBLE),
+           CAST('-62.8' AS DOUBLE), CAST('-17.7297' AS DOUBLE)
+    FROM region WHERE r_regionkey = 4"""
+
+
+def crowded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON features of the crowded map, as columns of ``FEATURE_DDL``."""
+    tables = {name: table(spark, sf_dir, name) for name in ("customer", "region")}
+    boxes = spark.sql(CROWDED_BOXES.replace("FROM customer", "FROM {customer}").replace("FROM region", "FROM {region}"), **tables)
+    corner = lambda a, b: F.array(F.col(a), F.col(b))
+    first = corner("x0", "y0")
+    ring = F.array(first, corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), first)
+    return boxes.select(
+        "ord",
+        F.struct("name", F.lit(None).cast("string").alias("zona")).alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), F.to_json(F.array(ring)).alias("coordinates")).alias("geometry"),
+    )
+
+
 def write_supplier_geojson(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Feature collections of at most ZONES_PER_FILE zones, one file each, in key order."""
     f = supplier_features(spark, sf_dir)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pingzones.catalog.derived import (
+    CROWDED_BOXES,
     PING_EXPRESSIONS,
     SAMPLE_ZONES,
+    SLANTED_POINTS,
     SUPPLIER_R,
     SUPPLIER_X,
     SUPPLIER_Y,
@@ -67,17 +69,38 @@ edges AS (
     UNION ALL SELECT ord, name, x1, y0, x, y1 FROM shape WHERE ord % 2 = 1
     UNION ALL SELECT ord, name, x, y1, x0, y0 FROM shape WHERE ord % 2 = 1)"""
 
+_CROWDED_EDGES = f"""boxes AS ({CROWDED_BOXES}),
+edges AS (
+    SELECT ord, name, x0 AS ax, y0 AS ay, x1 AS bx, y0 AS by_ FROM boxes
+    UNION ALL SELECT ord, name, x1, y0, x1, y1 FROM boxes
+    UNION ALL SELECT ord, name, x1, y1, x0, y1 FROM boxes
+    UNION ALL SELECT ord, name, x0, y1, x0, y0 FROM boxes)"""
+
 # Tests every ping against every edge: an odd number of edges to the right of
-# the ping and none under it.
-_CROSS = "((bx - ax) * (latitude - ay) - (by_ - ay) * (longitude - ax))"
-_ZONED = f"""hits AS (
-    SELECT id, ord, name FROM pings, edges
+# the ping and none under it.  The side is told in decimal numbers, by the digits
+# that the coordinates are written with.
+
+
+def _exact(difference: str) -> str:
+    a, b = difference.split(" - ")
+    return f"(CAST(CAST({a} AS VARCHAR) AS DECIMAL(18, 15)) - CAST(CAST({b} AS VARCHAR) AS DECIMAL(18, 15)))"
+
+
+_LEFT = f"{_exact('bx - ax')} * {_exact('latitude - ay')}"
+_RIGHT = f"{_exact('by_ - ay')} * {_exact('longitude - ax')}"
+# Of a ping and an edge whose heights or boxes do not meet the side does not matter.
+_ZONED = f"""met AS (
+    SELECT id, ord, name,
+           (ay > latitude) <> (by_ > latitude) AND greatest(ax, bx) >= longitude AS ahead,
+           longitude BETWEEN least(ax, bx) AND greatest(ax, bx)
+               AND latitude BETWEEN least(ay, by_) AND greatest(ay, by_) AS beside,
+           ax, ay, bx, by_, longitude, latitude
+    FROM pings, edges),
+hits AS (
+    SELECT id, ord, name FROM met WHERE ahead OR beside
     GROUP BY id, ord, name
-    HAVING count(*) FILTER (WHERE (ay > latitude) <> (by_ > latitude)
-                                  AND ({_CROSS} > 0) = (by_ > ay)) % 2 = 1
-       AND count(*) FILTER (WHERE longitude BETWEEN least(ax, bx) AND greatest(ax, bx)
-                                  AND latitude BETWEEN least(ay, by_) AND greatest(ay, by_)
-                                  AND {_CROSS} = 0) = 0),
+    HAVING count(*) FILTER (WHERE CASE WHEN ahead THEN ({_LEFT} > {_RIGHT}) = (by_ > ay) END) % 2 = 1
+       AND count(*) FILTER (WHERE CASE WHEN beside THEN {_LEFT} = {_RIGHT} END) = 0),
 winners AS (SELECT id, arg_min(name, ord) AS name FROM hits GROUP BY id),
 zoned AS (
     SELECT pings.*, CASE WHEN latitude IS NULL OR longitude IS NULL THEN 'Desconocida'
@@ -129,6 +152,9 @@ ORACLES: dict[str, str] = {
         pings AS (SELECT id, {_snapped('latitude')} AS latitude,
                          {_snapped('longitude')} AS longitude FROM raw),
         {_SAMPLE_EDGES}, {_ZONED} SELECT id, latitude, longitude, zona FROM zoned""",
+    "zone_slanted_edges": "WITH pings AS (SELECT "
+    + ", ".join(f"{e} AS {c}" for c, e in SLANTED_POINTS.items())
+    + f" FROM events), {_SAMPLE_EDGES}, {_ZONED} SELECT id, longitude, latitude, zona FROM zoned",
     "zone_empty": f"WITH {_PINGS} SELECT id, {_NO_ZONE} AS zona FROM pings",
     "zone_table": f"""WITH {_SUPPLIER_EDGES},
         numbered AS (
@@ -173,6 +199,8 @@ ORACLES: dict[str, str] = {
     "keyset_full_pull": f"""WITH {_PINGS} SELECT * FROM (
         SELECT * REPLACE (CAST(date_trunc('hour', "timestamp") AS TIMESTAMP) AS "timestamp")
         FROM pings) WHERE "timestamp" > {_MARK}""",
+    "keyset_pull_resumed": f"""WITH {_PINGS}
+        SELECT * REPLACE (CAST(date_trunc('hour', "timestamp") AS TIMESTAMP) AS "timestamp") FROM pings""",
     "union_pages": _ALL_PINGS,
     "drop_missing_id": f"{_ALL_PINGS} WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
     "target_high_water_mark": "SELECT max(ts) AS max_ts FROM events",
@@ -203,4 +231,11 @@ ORACLES: dict[str, str] = {
             WHERE {_SLOW} AND "timestamp" <= t - INTERVAL {LOOKBACK.days} DAY)""",
     "run_metrics": "SELECT count(*) AS extracted, count(*) AS loaded FROM events",
     "stream_cycle": _ENRICHED,
+    "zone_of_ping_crowded": f"WITH {_PINGS}, {_CROWDED_EDGES}, {_ZONED} SELECT id, zona FROM zoned",
+    "logged_append": _ENRICHED,
+    "logged_cycle": _ENRICHED,
+    "logged_mark": f"""SELECT count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts
+        FROM events GROUP BY ts < {_MARK}""",
 }
+ORACLES["logged_replace"] = ORACLES["seed_roundtrip"]
+ORACLES["late_rows_stream"] = ORACLES["late_rows_recovered"]

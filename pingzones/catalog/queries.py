@@ -12,14 +12,16 @@ from pingzones.catalog import derived
 from pingzones.catalog.derived import pings, sample_index, supplier_index
 from pingzones.functions import bins, parsing
 from pingzones.operators import numbering, paging
+from pingzones.operators.pull import pull
 from pingzones.operators.shared_folder import new_folder
 from pingzones.operators.zone_index import build_zone_index
 from pingzones.operators.zone_join import with_zone
 from pingzones.plans import cycle, transform
 from pingzones.schema import OUTSIDE, PING_COLUMNS, PING_SCHEMA
+from pingzones.sinks.logged import LoggedTarget
 from pingzones.sinks.targets import PathTarget, latest_time_of_files
 from pingzones.sources import pings as source
-from pingzones.sources.zones import empty_zones, read_zones
+from pingzones.sources.zones import empty_zones, read_zones, zones_from_features
 from pingzones.streaming.cycle import start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,7 +75,8 @@ def offset_pages_of_equal_keys(spark, sf_dir):
         {"timestamp": F.date_trunc("hour", "timestamp").cast("timestamp_ntz"), "id": F.col("id") % 10}
     )
     size = -(-hourly.count() // 4)
-    return source.union_pages([paging.offset_page(hourly, at * size, size) for at in range(4)])
+    directory = paging.page_directory(hourly, size)
+    return source.union_pages([paging.directory_page(hourly, directory, at, size) for at in range(4)])
 
 
 def keyset_page(spark, sf_dir):
@@ -86,6 +89,17 @@ def keyset_full_pull(spark, sf_dir):
     return paging.newer_than(hourly, MARK)
 
 
+def keyset_pull_resumed(spark, sf_dir):
+    """Whole hours pulled in pages, by one run over the early rows and one that goes on behind them."""
+    hourly = pings(spark, sf_dir).withColumn("timestamp", F.date_trunc("hour", "timestamp").cast("timestamp_ntz"))
+    target = LoggedTarget(spark, new_folder(spark, "pulled"), PING_SCHEMA, "timestamp")
+    log = new_folder(spark, "pull-log")
+    for rows in (hourly.filter(F.col("timestamp") <= parsing.ntz(MARK)), hourly):
+        # A third of the rows a page, whatever the table's size.
+        pull(rows, log, lambda page, n: target.append_once(page, log, n), max(1, -(-rows.count() // 3)))
+    return target.read()
+
+
 def union_pages(spark, sf_dir):
     time = F.col("timestamp")
     low, high = (parsing.ntz(t) for t in PAGE_EDGES)
@@ -130,6 +144,12 @@ def zone_boundary(spark, sf_dir):
     return with_zone(on_grid, sample_index(spark)).select("id", "latitude", "longitude", "zona")
 
 
+def zone_slanted_edges(spark, sf_dir):
+    """Points on slanted edges, which are outside, and a billionth of a degree beside them."""
+    points = derived.table(spark, sf_dir, "events").selectExpr(*[f"{e} AS {c}" for c, e in derived.SLANTED_POINTS.items()])
+    return with_zone(points, sample_index(spark)).select("id", "longitude", "latitude", "zona")
+
+
 def zone_empty(spark, sf_dir):
     index = build_zone_index(empty_zones(spark))
     return with_zone(pings(spark, sf_dir), index).select("id", "zona")
@@ -146,6 +166,12 @@ def zone_of_ping_shuffled(spark, sf_dir):
     return with_zone(narrow, index, broadcast_limit=0).select("id", "zona")
 
 
+def zone_of_ping_crowded(spark, sf_dir):
+    """Thousands of small zones in one place, large ones behind them and a narrow strip: built, then joined."""
+    index = build_zone_index(zones_from_features(derived.crowded_features(spark, sf_dir)))
+    return with_zone(pings(spark, sf_dir), index).select("id", "zona")
+
+
 # --- columns ---------------------------------------------------------------
 
 
@@ -279,9 +305,42 @@ def seed_roundtrip(spark, sf_dir):
     return target.read()
 
 
-def _loaded(spark, sf_dir, label, *cycles, **options):
+def logged_append(spark, sf_dir):
+    """Two appends and one that fails after its first rows, of which nothing is seen."""
+    target = LoggedTarget(spark, new_folder(spark, "logged"))
+    labelled = enriched_pings(spark, sf_dir)
+    early = F.col("fecha_hora") < parsing.ntz(MARK)
+    target.append(labelled.filter(early))
+    # Files of an append that died before its entry: nobody names them.
+    target.staged(labelled.filter(~early))
+    target.append(labelled.filter(~early))
+    return target.read()
+
+
+def logged_replace(spark, sf_dir):
+    """Rows replaced by others that are made from them."""
+    target = LoggedTarget(spark, new_folder(spark, "replaced"), PING_SCHEMA, "timestamp")
+    target.append(pings(spark, sf_dir))
+    target.replace(target.read().withColumn("device_name", F.upper("network_type")))
+    return target.read()
+
+
+def logged_mark(spark, sf_dir):
+    """High-water mark and rows of each append, from the log."""
+    target = LoggedTarget(spark, new_folder(spark, "logged-mark"))
+    shaped = output_shape(spark, sf_dir)
+    early = F.col("fecha_hora") < parsing.ntz(MARK)
+    target.append(shaped.filter(~early))
+    target.append(shaped.filter(early))
+    found = [(b.rows, b.first, b.last) for b in target.state().batches]
+    return spark.createDataFrame(found, "n bigint, first string, last string").select(
+        "n", *[F.col(c).cast("timestamp_ntz").alias(f"{c}_ts") for c in ("first", "last")]
+    )
+
+
+def _loaded(spark, sf_dir, label, *cycles, kind=PathTarget, **options):
     """Target after one cycle for each version of the source."""
-    target = PathTarget(spark, new_folder(spark, label))
+    target = kind(spark, new_folder(spark, label))
     reports = [cycle.run_cycle(rows, target, sample_index(spark), **options) for rows in cycles]
     return target.read(), reports
 
@@ -293,6 +352,13 @@ def incremental_cycle(spark, sf_dir):
     return _loaded(spark, sf_dir, "cycle", first, everything, everything)[0]
 
 
+def logged_cycle(spark, sf_dir):
+    """The same cycles into a target with a log."""
+    everything = pings(spark, sf_dir)
+    first = everything.filter(F.col("timestamp") <= parsing.ntz(MARK))
+    return _loaded(spark, sf_dir, "logged-cycle", first, everything, everything, kind=LoggedTarget)[0]
+
+
 def _slow_arrival(spark, sf_dir):
     everything = pings(spark, sf_dir)
     seen = (F.col("timestamp") <= parsing.ntz(MARK)) & (F.col("network_type") != SLOW_NETWORK)
@@ -329,6 +395,17 @@ def stream_cycle(spark, sf_dir):
     return target.read()
 
 
+def late_rows_stream(spark, sf_dir):
+    """Pings that land again and late: those within the lookback are loaded, once."""
+    pages, state = new_folder(spark, "late-pages"), new_folder(spark, "late-state")
+    target = LoggedTarget(spark, new_folder(spark, "late-target"))
+    for step, rows in enumerate(_slow_arrival(spark, sf_dir)):
+        source.write_pages(rows, f"{pages}/step={step}")
+        stream = source.stream_pages(spark, f"{pages}/*", multi_line=False)
+        start_stream(stream, target, sample_index(spark), state, lookback=LOOKBACK).awaitTermination()
+    return target.read()
+
+
 QUERIES: dict[str, Query] = {
     "enriched_pings": enriched_pings,
     "output_shape": output_shape,
@@ -336,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "category_rollup": category_rollup,
     "zone_of_ping": zone_of_ping,
     "zone_boundary": zone_boundary,
+    "zone_slanted_edges": zone_slanted_edges,
     "zone_empty": zone_empty,
     "zone_table": zone_table,
     "zone_of_ping_many_zones": zone_of_ping_many_zones,
@@ -356,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "offset_pages_of_equal_keys": offset_pages_of_equal_keys,
     "keyset_page": keyset_page,
     "keyset_full_pull": keyset_full_pull,
+    "keyset_pull_resumed": keyset_pull_resumed,
     "union_pages": union_pages,
     "drop_missing_id": drop_missing_id,
     "target_high_water_mark": target_high_water_mark,
@@ -368,4 +447,10 @@ QUERIES: dict[str, Query] = {
     "late_rows_recovered": late_rows_recovered,
     "run_metrics": run_metrics,
     "stream_cycle": stream_cycle,
+    "zone_of_ping_crowded": zone_of_ping_crowded,
+    "logged_append": logged_append,
+    "logged_replace": logged_replace,
+    "logged_mark": logged_mark,
+    "logged_cycle": logged_cycle,
+    "late_rows_stream": late_rows_stream,
 }

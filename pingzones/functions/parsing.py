@@ -31,17 +31,14 @@ def parse_coordinate(c: Column) -> Column:
     )
 
 
-# Date, and optionally time and numeric offset, in the extended form.
-_EXTENDED = (
-    r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
-)
-# What makes the basic form extended: separators in the date and the time.
-_TO_EXTENDED = (
-    (r"^(\d{4})(\d{2})(\d{2})(?=T|$)", "$1-$2-$3"),
-    (r"T(\d{2})(\d{2})(?=\d{2}|Z|[+-]|$)", "T$1:$2"),
-    (r"(T\d{2}:\d{2})(\d{2})", "$1:$2"),
-    (r"(:\d{2}),(?=\d)", "$1."),
+# Date, and optionally time and numeric offset, each in the extended or the basic
+# form; behind a blank only a time in the extended form, and before it such a date.
+_ISO = (
+    r"^(\d{4})(-?)(\d{2})\2(\d{2})"
+    r"(?:(?:T|(?<=-\d{2}) (?=\d{2}:))(\d{2})(:?)(\d{2})(?:\6(\d{2})([.,]\d{1,9})?)?(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
+# The clock in the extended form, a mark that the text cannot hold, the offset.
+_PARTS = "$1-$3-$4 $5:$7:$8$9|$10"
 _EPOCH = "1970-01-01 00:00:00"
 
 
@@ -61,13 +58,14 @@ def parse_iso_timestamp(c: Column, zone: str = DEFAULT_ZONE) -> Column:
     instant and becomes the wall clock of ``zone``.  Neither depends on the
     session time zone.
     """
-    text = F.upper(F.trim(c))
-    for pattern, parts in _TO_EXTENDED:
-        text = F.regexp_replace(text, pattern, parts)
-    clock = F.regexp_replace(text, _EXTENDED, "$1 $2").try_cast("timestamp_ntz")
-    offset = F.regexp_extract(text, _EXTENDED, 3)
+    text = F.translate(F.upper(F.trim(c)), "|", "?")
+    # Parts that the text does not have leave their separators before the mark.
+    parts = F.replace(F.replace(F.regexp_replace(text, _ISO, _PARTS), F.lit(" ::|"), F.lit("|")), F.lit(":|"), F.lit("|"))
+    clock = F.translate(F.substring_index(parts, "|", 1), ",", ".").try_cast("timestamp_ntz")
+    offset = F.substring_index(parts, "|", -1)
     at_zone = F.convert_timezone(offset, F.lit(zone), clock)
-    return F.when(text.rlike(_EXTENDED), F.when(offset == "", clock).otherwise(at_zone))
+    # Text that is no time has come through without a mark.
+    return F.when(F.contains(parts, F.lit("|")), F.when(offset == "", clock).otherwise(at_zone))
 
 
 def format_timestamp(c: Column, separator: str = " ") -> Column:

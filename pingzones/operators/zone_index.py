@@ -8,7 +8,11 @@ out.
 
 A cell with more than ``target_edges`` edges is split into ``SIDE`` by ``SIDE``
 cells of the next depth, again and again, unless that spreads its edges instead
-of parting them (many borders along one line).  Cells that stay crowded above
+of parting them (many borders along one line).  The cells of all depths make a
+linear quadtree: one table whose key is the place of a cell on the Z curve, so
+that the key of the cell around it is the same number without its last bits.
+Each depth is written before the next one is made from it, so neither plans nor
+lineage grow with the depth.  Cells that stay crowded above
 ``max_edges`` spread their zones over several levels, each joined in turn, so no
 row grows with the number of zones that share a place.
 """
@@ -17,12 +21,12 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pingzones.functions.geometry import cross, odd_crossings
+from pingzones.operators.shared_folder import new_folder, release, written
 
 CELLS_PER_ZONE = 1024
 MIN_CELLS_PER_ZONE = 16
@@ -39,6 +43,9 @@ MAX_SPREAD = 3
 MAX_GROWTH = 4
 # Smallest cell, as a part of the largest coordinate: cell numbers fit 28 bits.
 FINEST = 1e-8
+_CELL_BITS = 28
+# Bits of a Z-order key that one depth adds: those of SIDE, for both axes.
+_DEPTH_BITS = 2 * (SIDE.bit_length() - 1)
 # Zone cells and edges that one task works on.
 CELLS_PER_TASK, EDGES_PER_TASK = 5_000, 50_000
 # Upper estimates of the bytes of one edge, zone entry and cell in a hash table.
@@ -50,29 +57,76 @@ WINNER_TYPE = "struct<ord:bigint,name:string>"
 class ZoneIndex:
     """Cells by level with the figures that decide how they are joined.
 
-    ``splits`` holds, for each depth, the cells that are split further.
+    ``depths`` is the deepest that a cell may be, which fixes the length of the
+    keys; ``splits`` holds, for each depth, the cells that are split further.
     """
 
     cell: float
     bounds: tuple[float, float, float, float]  # x0, x1, y0, y1
     levels: list[DataFrame]
     bytes_estimate: int
+    depths: int = 0
     splits: list[DataFrame] = field(default_factory=list)
     split_bytes: int = 0
+    folder: str | None = None
 
     @property
     def is_empty(self) -> bool:
         return not self.levels
 
+    @property
+    def reach(self) -> float:
+        """The largest coordinate."""
+        return max(abs(b) for b in self.bounds)
+
+    @property
+    def extent(self) -> float:
+        x0, x1, y0, y1 = self.bounds
+        return max(x1 - x0, y1 - y0)
+
     def release(self) -> None:
-        """Free the cached cells."""
+        """Free the cells, cached and written."""
         for table in [*self.levels, *self.splits]:
             table.unpersist()
+        if self.folder is not None:
+            release(self.levels[0].sparkSession, self.folder)
+
+
+def deepest(cell: float, reach: float) -> int:
+    """How often a cell may be split before its numbers need more than ``_CELL_BITS`` bits."""
+    depth = 0
+    while depth < MAX_DEPTH and cell / SIDE ** (depth + 1) >= reach * FINEST:
+        depth += 1
+    return depth
+
+
+def z_order(x: str, y: str) -> str:
+    """The bits of two whole numbers from 0, those of ``y`` first, in turns.
+
+    Binary digits read as digits to base 4 lie two bits apart.  Written with shifts
+    and masks, each step would hold the one before twice.
+    """
+    spread = "CAST(conv(bin({0}), 4, 10) AS BIGINT)"
+    return f"({spread.format(x)} | shiftleft({spread.format(y)}, 1))"
+
+
+def deepest_cell(depths: int, gx: str, gy: str) -> str:
+    """Z-order number, at the deepest level, of a point in units of the first cells."""
+    scale, middle = f"{float(SIDE**depths)!r}D", 1 << (_CELL_BITS - 1)
+    return z_order(*(f"floor({g} * {scale}) + {middle}" for g in (gx, gy)))
+
+
+def key_at(z: str, depth: int | str, depths: int) -> str:
+    """Key of the cell at ``depth`` around the deepest cell ``z``: its first bits after a one."""
+    cut = f"CAST({_DEPTH_BITS} * ({depths} - ({depth})) AS INT)"
+    return f"(shiftright({z}, {cut}) | shiftleft(1L, {2 * _CELL_BITS} - {cut}))"
 
 
-def cell_key(depth: int | str, cx: str, cy: str) -> str:
-    """One number for a cell: depth, column and row."""
-    return f"(CAST({depth} AS BIGINT) * {1 << 56} + ({cx} + {1 << 27}) * {1 << 28} + {cy} + {1 << 27})"
+def with_key(cells: DataFrame, depth: int, depths: int) -> DataFrame:
+    """Cells (cx, cy) of one depth with their key in column ``cell``."""
+    side, middle = SIDE ** (depths - depth), 1 << (_CELL_BITS - 1)
+    z = z_order(*(f"{c} * {side} + {middle}" for c in ("cx", "cy")))
+    return cells.withColumn("cell", F.expr(key_at(z, depth, depths)))
 
 
 def default_cell(n: int, area: float, extent: float, spans: float = 0.0) -> float:
@@ -176,12 +230,12 @@ def _first_grid(zones: DataFrame, box: _Box, tasks: int) -> DataFrame:
     return _touched(cells, box)
 
 
-def _children(entries: DataFrame, box: _Box) -> DataFrame:
+def _children(entries: DataFrame, box: _Box, tasks: int) -> DataFrame:
     """Zones by the cells of the next depth; ``box`` is of that depth.
 
     Dealt out by zone as well, as one crowded cell may hold most of the work.
     """
-    entries = entries.repartition("ord", "cx", "cy")
+    entries = entries.repartition(tasks, "ord", "cx", "cy")
     for axis in ("cx", "cy"):
         steps = f"explode(sequence({axis} * {SIDE}, {axis} * {SIDE} + {SIDE - 1})) AS {axis}"
         entries = entries.selectExpr(*[k for k in entries.columns if k != axis], steps)
@@ -189,67 +243,105 @@ def _children(entries: DataFrame, box: _Box) -> DataFrame:
     return covered.unionByName(_touched(entries.filter("NOT covers"), box))
 
 
-def _crowding(entries: DataFrame) -> tuple[DataFrame, int, int]:
-    """Edges of each cell (``before``), of all cells and of the fullest."""
-    cells = entries.groupBy("cx", "cy").agg(F.sum(_edges_of("edges")).alias("before"))
-    total, most = cells.agg(F.sum("before"), F.max("before")).first()
-    return cells, total or 0, most or 0
-
-
 def _edges_of(edges: str) -> Column:
     return F.coalesce(F.size(edges), F.lit(0)).cast("bigint")
 
 
-@dataclass
-class _Refined:
-    """Entries of all depths, with what else ``_refine`` found."""
-
-    entries: DataFrame
-    most: int  # edges of the fullest cell
-    splits: list[DataFrame]
-    n_splits: int
-    cached: list[DataFrame]
-
-
-def _refine(entries: DataFrame, cell: float, reach: float, target: int) -> _Refined:
-    """Split crowded cells where that parts their edges."""
-    current = _reachable(entries).persist()
-    cells, total, most = _crowding(current)
-    cached, parts, splits, n_splits = [current], [], [], 0
-    budget, fullest = MAX_GROWTH * total, [most]
-    for depth in range(MAX_DEPTH):
-        cell /= SIDE
-        if most <= target or cell < reach * FINEST:
-            break
-        crowded = cells.filter(F.col("before") > target)
-        inner = current.join(crowded, ["cx", "cy"], "left_semi")
-        tried = _reachable(_children(inner, _Box(cell, reach))).persist()
-        up = {a: F.floor(F.col(a) / SIDE) for a in ("cx", "cy")}
-        worth = (
-            tried.groupBy(up["cx"].alias("cx"), up["cy"].alias("cy"))
-            .agg(F.sum(_edges_of("edges")).alias("after"))
-            .join(crowded, ["cx", "cy"])
-            .filter(F.col("after") <= MAX_SPREAD * F.col("before"))
-            .persist()
+def _tasks(entries: int, edges: int) -> int:
+    return max(1, math.ceil(max(entries / CELLS_PER_TASK, edges / EDGES_PER_TASK)))
+
+
+class _Quadtree:
+    """The written tables of one index while it is built, all under one folder."""
+
+    def __init__(self, spark, cell: float, reach: float, target: int, depths: int):
+        self.folder = new_folder(spark, "zone-index")
+        self.spark, self.cell, self.reach, self.target, self.depths = spark, cell, reach, target, depths
+        self.leaves: DataFrame | None = None
+        self.splits: list[DataFrame] = []
+        self.n_splits, self.most = 0, 0
+
+    def _write(self, df: DataFrame, name: str) -> DataFrame:
+        return written(df, f"{self.folder}/{name}")
+
+    def _counts(self, entries: DataFrame, name: str) -> DataFrame:
+        """(cx, cy, entries, edges) of each cell; only sizes are read."""
+        return self._write(
+            entries.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("entries"), F.sum("n_edges").alias("edges")), name
         )
-        cached += [tried, worth]
-        s = worth.agg(F.count(F.lit(1)), F.sum(F.col("after") - F.col("before"))).first()
-        if not s[0] or total + s[1] > budget:
-            break
-        total, n_splits = total + s[1], n_splits + s[0]
-        chosen = worth.select("cx", "cy")
-        splits.append(chosen.selectExpr(f"{cell_key(depth, 'cx', 'cy')} AS cell").persist())
-        left = current.join(chosen, ["cx", "cy"], "left_anti")
-        parts.append(left.withColumn("depth", F.lit(depth)))
-        fullest[-1] = _crowding(left)[2]
-        parents = chosen.withColumnsRenamed({"cx": "_px", "cy": "_py"})
-        is_child = (up["cx"] == F.col("_px")) & (up["cy"] == F.col("_py"))
-        current = tried.join(parents, is_child, "left_semi").persist()
-        cached.append(current)
-        cells, _, most = _crowding(current)
-        fullest.append(most)
-    parts.append(current.withColumn("depth", F.lit(len(splits))))
-    return _Refined(reduce(DataFrame.unionByName, parts), max(fullest), splits, n_splits, cached)
+
+    def _touching(self, entries: DataFrame, name: str) -> DataFrame:
+        """Entries written, up to the first zone that covers their cell."""
+        return _reachable(self._write(entries.withColumn("n_edges", _edges_of("edges")), name))
+
+    def _leaves(self, entries: DataFrame, depth: int) -> None:
+        """Keep the entries of cells that are not split any further."""
+        keyed = with_key(entries, depth, self.depths).withColumn("depth", F.lit(depth))
+        keyed.write.parquet(f"{self.folder}/leaves/at={depth}")
+        most = self.spark.read.parquet(f"{self.folder}/leaves/at={depth}").groupBy("cell").agg(
+            F.sum("n_edges").alias("edges")
+        )
+        self.most = max(self.most, most.agg(F.max("edges")).first()[0] or 0)
+
+    def grow(self, first: DataFrame) -> None:
+        """Split crowded cells where that parts their edges."""
+        current = self._touching(first, "touching-0")
+        counts = self._counts(current, "counts-0")
+        total = counts.agg(F.sum("edges")).first()[0] or 0
+        budget, cell = MAX_GROWTH * total, self.cell
+        for depth in range(self.depths):
+            crowded = counts.filter(F.col("edges") > self.target)
+            work = crowded.agg(F.sum("entries"), F.sum("edges")).first()
+            if not work[0]:
+                break
+            cell /= SIDE
+            n = SIDE * SIDE
+            children = _children(
+                current.join(crowded.select("cx", "cy"), ["cx", "cy"], "left_semi").drop("n_edges"),
+                _Box(cell, self.reach), _tasks(n * work[0], n * work[1]),
+            )
+            tried = self._touching(children, f"touching-{depth + 1}")
+            inner = self._counts(tried, f"tried-{depth + 1}")
+            up = {a: F.floor(F.col(a) / SIDE) for a in ("cx", "cy")}
+            after = inner.groupBy(up["cx"].alias("cx"), up["cy"].alias("cy")).agg(F.sum("edges").alias("after"))
+            chosen = self._write(
+                after.join(crowded, ["cx", "cy"])
+                .filter(F.col("after") <= MAX_SPREAD * F.col("edges"))
+                .select("cx", "cy", (F.col("after") - F.col("edges")).alias("more")),
+                f"chosen-{depth}",
+            )
+            s = chosen.agg(F.count(F.lit(1)), F.sum("more")).first()
+            if not s[0] or total + s[1] > budget:
+                break
+            total, self.n_splits = total + s[1], self.n_splits + s[0]
+            chosen = chosen.select("cx", "cy")
+            self.splits.append(self._write(with_key(chosen, depth, self.depths).select("cell"), f"splits/at={depth}"))
+            self._leaves(current.join(chosen, ["cx", "cy"], "left_anti"), depth)
+            parents = chosen.withColumnsRenamed({"cx": "_px", "cy": "_py"})
+            is_child = (up["cx"] == F.col("_px")) & (up["cy"] == F.col("_py"))
+            current, counts = (t.join(parents, is_child, "left_semi") for t in (tried, inner))
+        self._leaves(current, len(self.splits))
+
+    def levels(self, max_edges: int) -> tuple[list[DataFrame], int]:
+        """One table of cells for each level, and the bytes they take."""
+        entries = self.spark.read.parquet(f"{self.folder}/leaves").drop("at")
+        n_levels = max(1, math.ceil(self.most / max_edges))
+        spread = F.when(~F.col("covers"), F.pmod(F.xxhash64("ord"), F.lit(n_levels))).otherwise(0).cast("int")
+        cells = self._write(_cells(entries.withColumn("level", spread)), "cells")
+        m = cells.agg(
+            F.count(F.lit(1)).alias("cells"),
+            F.sum(F.coalesce(F.size("near"), F.lit(0))).alias("entries"),
+            F.sum(_edge_count("near")).alias("edges"),
+        ).first()
+        size = m["cells"] * _CELL_BYTES + (m["entries"] or 0) * _ENTRY_BYTES + (m["edges"] or 0) * _EDGE_BYTES
+        return [cells.filter(F.col("level") == k).drop("level").persist() for k in range(n_levels)], size
+
+    def tidy(self) -> None:
+        """Delete what only building needed."""
+        for depth in range(len(self.splits) + 2):
+            for name in ("touching", "counts", "tried", "chosen"):
+                release(self.spark, f"{self.folder}/{name}-{depth}")
+        release(self.spark, f"{self.folder}/leaves")
 
 
 def build_zone_index(
@@ -258,8 +350,10 @@ def build_zone_index(
     max_edges: int = MAX_EDGES_PER_ROW,
     target_edges: int = TARGET_EDGES,
 ) -> ZoneIndex:
-    """Index a zone table.  Runs a few small jobs over the zones; the cells stay cached."""
-    usable = zones.filter(F.size("edges") > 0).persist()
+    """Index a zone table.  Runs a few small jobs over the zones; the cells stay written and cached."""
+    spark = zones.sparkSession
+    folder = new_folder(spark, "zones")
+    usable = written(zones.filter(F.size("edges") > 0), folder)
     width, height = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     s = usable.agg(
         F.count(F.lit(1)).alias("n"),
@@ -272,37 +366,23 @@ def build_zone_index(
         F.max("y1").alias("y1"),
     ).first()
     if s["n"] == 0:
-        usable.unpersist()
+        release(spark, folder)
         return ZoneIndex(cell or 0.01, (0.0, 0.0, 0.0, 0.0), [], 0)
     bounds = (s["x0"], s["x1"], s["y0"], s["y1"])
     reach = max(abs(b) for b in bounds)
     extent = max(s["x1"] - s["x0"], s["y1"] - s["y0"])
     cell = max(cell or default_cell(s["n"], s["area"], extent, s["spans"]), reach * FINEST)
     n_cells = usable.agg(F.sum((F.floor(width / cell) + 2) * (F.floor(height / cell) + 2))).first()[0]
-    tasks = math.ceil(max(n_cells / CELLS_PER_TASK, s["edges"] / EDGES_PER_TASK))
-
-    first = _first_grid(usable, _Box(cell, reach), tasks).persist()
-    refined = _refine(first, cell, reach, target_edges)
-    entries = refined.entries.withColumn("cell", F.expr(cell_key("depth", "cx", "cy")))
-    n_levels = max(1, math.ceil(refined.most / max_edges))
-    spread = entries.withColumn(
-        "level", F.when(~F.col("covers"), F.pmod(F.xxhash64("ord"), F.lit(n_levels))).otherwise(0)
+
+    tree = _Quadtree(spark, cell, reach, target_edges, deepest(cell, reach))
+    tree.grow(_first_grid(usable, _Box(cell, reach), _tasks(n_cells, s["edges"])))
+    levels, size = tree.levels(max_edges)
+    tree.tidy()
+    release(spark, folder)
+    return ZoneIndex(
+        cell, bounds, levels, size, tree.depths, [t.persist() for t in tree.splits], tree.n_splits * _CELL_BYTES,
+        tree.folder,
     )
-    levels = [_level(spread.filter(F.col("level") == k)).persist() for k in range(n_levels)]
-    size = 0
-    for level in levels:
-        m = level.agg(
-            F.count(F.lit(1)).alias("cells"),
-            F.sum(F.coalesce(F.size("near"), F.lit(0))).alias("entries"),
-            F.sum(_edge_count("near")).alias("edges"),
-        ).first()
-        size += m["cells"] * _CELL_BYTES
-        size += (m["entries"] or 0) * _ENTRY_BYTES + (m["edges"] or 0) * _EDGE_BYTES
-    for split in refined.splits:
-        split.count()  # cached before what it is made from is freed
-    for table in [usable, first, *refined.cached]:
-        table.unpersist()
-    return ZoneIndex(cell, bounds, levels, size, refined.splits, refined.n_splits * _CELL_BYTES)
 
 
 def _reachable(entries: DataFrame) -> DataFrame:
@@ -315,9 +395,9 @@ def _reachable(entries: DataFrame) -> DataFrame:
     )
 
 
-def _level(entries: DataFrame) -> DataFrame:
-    """One row per cell: the first zone covering it and the border zones before that one."""
-    grouped = entries.groupBy("cell").agg(
+def _cells(entries: DataFrame) -> DataFrame:
+    """One row per level and cell: the first zone covering it and the border zones before that one."""
+    grouped = entries.groupBy("level", "cell").agg(
         *[F.first(c).alias(c) for c in ("depth", "cx", "cy")],
         F.min(F.when(F.col("covers"), F.struct("ord", "name"))).alias("covering"),
         F.array_sort(

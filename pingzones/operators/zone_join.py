@@ -5,29 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pingzones.functions.geometry import strictly_inside
+from pingzones.functions.geometry import rounding_bound, strictly_inside
 from pingzones.functions.parsing import parse_coordinate
 from pingzones.operators.skew import ROWS_PER_TASK, hot_keys, salted_left_join
-from pingzones.operators.zone_index import SIDE, WINNER_TYPE, ZoneIndex, cell_key
+from pingzones.operators.zone_index import WINNER_TYPE, ZoneIndex, deepest_cell, key_at
 from pingzones.schema import BAD_COORDINATE, OUTSIDE, UNKNOWN
 
 # An index above this size is joined by shuffling instead of broadcasting.
 BROADCAST_LIMIT = 128 << 20
 
 
-def _first_inside(near: str, lon: str, lat: str) -> str:
+def _first_inside(near: str, lon: str, lat: str, bound: float) -> str:
     """Lowest zone of a cell whose edges enclose the point; stops at the first."""
     return f"""aggregate({near}, CAST(NULL AS {WINNER_TYPE}), (found, z) ->
-        coalesce(found, CASE WHEN {strictly_inside('z.edges', lon, lat)}
+        coalesce(found, CASE WHEN {strictly_inside('z.edges', lon, lat, bound)}
                              THEN named_struct('ord', z.ord, 'name', z.name) END))"""
 
 
-def _key_at(depth: str) -> str:
-    """Cell of a ping at a depth; the numbers of deeper cells are exact multiples."""
-    scale = f"CAST(shiftleft(1L, {SIDE.bit_length() - 1} * {depth}) AS DOUBLE)"
-    return cell_key(depth, f"floor(_gx * {scale})", f"floor(_gy * {scale})")
-
-
 def fits_broadcast(index: ZoneIndex, broadcast_limit: int = BROADCAST_LIMIT) -> bool:
     return index.bytes_estimate <= broadcast_limit
 
@@ -68,24 +62,26 @@ def with_zone(
         return pings.withColumn(out, F.expr(label))
 
     x0, x1, y0, y1 = (f"{b!r}D" for b in index.bounds)
+    bound = rounding_bound(index.reach, index.extent)
     # NaN and anything off the map fails this test and gets no cell.
     on_map = f"{lon} BETWEEN {x0} AND {x1} AND {lat} BETWEEN {y0} AND {y1}"
     located = pings.withColumns(
         {at: F.expr(f"CASE WHEN {on_map} THEN {c} / {index.cell!r}D END") for at, c in (("_gx", lon), ("_gy", lat))}
     )
+    located = located.withColumn("_z", F.expr(deepest_cell(index.depths, "_gx", "_gy"))).drop("_gx", "_gy")
     small = fits_broadcast(index, broadcast_limit)
     depth = "0"
     for k, split in enumerate(index.splits):
         side = split.selectExpr("cell AS _cell", f"1 AS _split{k}")
-        located = located.withColumn("_cell", F.expr(_key_at(str(k))))
+        located = located.withColumn("_cell", F.expr(key_at("_z", k, index.depths)))
         if index.split_bytes <= broadcast_limit:
             located = located.join(F.broadcast(side), "_cell", "left")
         else:
             located = salted_left_join(located, side, ["_cell"], rows_per_task, index.split_bytes)
         # A split cell lies in split cells of all depths before.
         depth += f" + coalesce(_split{k}, 0)"
-    used = ["_gx", "_gy", *[f"_split{k}" for k in range(len(index.splits))]]
-    located = located.withColumn("_cell", F.expr(_key_at(f"({depth})"))).drop(*used)
+    used = ["_z", *[f"_split{k}" for k in range(len(index.splits))]]
+    located = located.withColumn("_cell", F.expr(key_at("_z", depth, index.depths))).drop(*used)
     # The same keys at every level, so the hot ones are looked for once.
     hot = None if small else hot_keys(located, ["_cell"], rows_per_task)
     winners = []
@@ -96,7 +92,7 @@ def with_zone(
             located = located.join(F.broadcast(side), "_cell", "left")
         else:
             located = salted_left_join(located, side, ["_cell"], rows_per_task, index.bytes_estimate, hot)
-        hit = f"CASE WHEN {near} IS NOT NULL THEN {_first_inside(near, lon, lat)} END"
+        hit = f"CASE WHEN {near} IS NOT NULL THEN {_first_inside(near, lon, lat, bound)} END"
         if len(index.levels) == 1:
             # Every near zone precedes the covering one.
             winners.append(f"coalesce({hit}, {covering})")

@@ -14,7 +14,7 @@ from pingzones.operators.paging import newer_than
 from pingzones.operators.zone_index import ZoneIndex
 from pingzones.plans.transform import label_pings
 from pingzones.schema import DEFAULT_THRESHOLDS, PASS_THROUGH, Thresholds
-from pingzones.sinks.targets import Target
+from pingzones.sinks.targets import Conflict, Target
 
 
 @dataclass(frozen=True)
@@ -22,6 +22,8 @@ class CycleReport:
     mark: datetime | None
     extracted: int
     loaded: int
+    # Another cycle changed the target meanwhile: nothing was loaded.
+    conflict: bool = False
 
 
 def not_loaded(
@@ -85,15 +87,20 @@ def run_cycle(
 
     By default a ping that arrives with a time at or before the mark is never
     loaded.  ``lookback`` loads such pings if they are at most that much older,
-    and also completes an append that failed half way.
+    and also completes an append that failed half way.  A target with a log needs
+    no lookback for that, and of two cycles that overlap it lets one through.
     """
-    mark = target.high_water_mark()
+    found = target.snapshot()
+    mark = found.mark
     rows = pending(pings, target, mark, lookback)
     if rows.isEmpty():
         return CycleReport(mark, 0, 0)
     rows, extracted = counted(rows, "extracted")
     out, loaded = counted(label_pings(rows, index, thresholds), "loaded")
-    target.append(out)
+    try:
+        found.append(out)
+    except Conflict:
+        return CycleReport(mark, extracted.get["rows"], 0, conflict=True)
     return CycleReport(mark, extracted.get["rows"], loaded.get["rows"])
 
 

@@ -39,6 +39,22 @@ def latest_time_of_files(df: DataFrame, column: str = TIME) -> DataFrame:
     return later.agg(F.coalesce(F.max(column), ntz(guess)).alias("max_ts"))
 
 
+class Conflict(Exception):
+    """Another writer changed the target meanwhile; nothing was written."""
+
+
+@dataclass
+class Snapshot:
+    """A target as a cycle found it, for the append that ends the cycle."""
+
+    target: Target
+    mark: datetime | None
+
+    def append(self, df: DataFrame) -> None:
+        """Append; targets that can tell raise Conflict if they have changed since."""
+        self.target.append(df)
+
+
 class Target:
     """What a load cycle needs from a target."""
 
@@ -62,6 +78,13 @@ class Target:
             return None
         return latest_time(self.read()).first()["max_ts"]
 
+    def snapshot(self) -> Snapshot:
+        return Snapshot(self, self.high_water_mark())
+
+    def append_once(self, df: DataFrame, stream: str, number: int) -> bool | None:
+        """Append batch ``number`` of a stream and say so, unless it is there; None if the target cannot tell."""
+        return None
+
 
 @dataclass
 class PathTarget(Target):

@@ -84,6 +84,41 @@ def test_pages_over_equal_keys_cover_the_rows_once(spark, max_skip):
     assert [len(p.collect()) for p in pages] == [30, 30, 30, 24]
 
 
+@pytest.mark.parametrize("size", [25, 93, 1000])
+def test_directory_pages_cover_the_rows_once_in_order(spark, tied, size):
+    """Pages start within runs of copies, at missing keys, and may hold one run only."""
+    rows = [(1, T0)] * 90 + [(2, T0), (None, T0), (3, None), (3, T0 + timedelta(days=1))] + [(3, None)] * 20
+    copies = timed(spark, rows).withColumn("battery", F.lit(4))
+    for df, n in ((copies, len(rows)), (tied[0], tied[0].count()))[: 1 if size < 90 else 2]:
+        directory = paging.page_directory(df, size)
+        assert sorted(r["page"] for r in directory.collect()) == list(range(-(-n // size)))
+        pages = [paging.directory_page(df, directory, k, size) for k in range(-(-n // size) + 1)]
+        got = [tuple(r) for page in pages for r in page.collect()]
+        assert sorted(got, key=repr) == sorted(map(tuple, df.collect()), key=repr)
+        places = [(r[PING_COLUMNS.index("timestamp")], r[0]) for r in got]
+        assert places == in_order(places)
+        assert [p.count() for p in pages[:-2]] == [size] * (len(pages) - 2) and pages[-1].count() == 0
+
+
+def test_a_directory_serves_all_its_pages(spark, tied, monkeypatch):
+    """Reading a page neither counts nor numbers rows again, and its range reaches the scan."""
+    df, wanted = tied
+    folder = new_folder(spark, "paged")
+    df.write.parquet(folder)
+    kept = spark.read.parquet(folder)
+    directory = paging.page_directory(kept, 100)
+    monkeypatch.setattr(paging, "with_row_index", None)
+    monkeypatch.setattr(paging, "_descend", None)
+    assert [k for at in range(8) for k in keys(paging.directory_page(kept, directory, at, 100))] == wanted
+    plan = plan_text(paging.directory_page(kept, directory, 1, 100))
+    assert "GreaterThanOrEqual(timestamp" in plan and "LessThanOrEqual(timestamp" in plan
+
+
+def test_directory_of_nothing(spark):
+    directory = paging.page_directory(timed(spark, []), 10)
+    assert directory.count() == 0 and paging.directory_page(timed(spark, []), directory, 0, 10).count() == 0
+
+
 def test_filter_reaches_the_scan(spark, tiny, tmp_path):
     df = paging.newer_than(derived.pings(spark, tiny), datetime(2024, 1, 15, 1, 2, 3))
     assert "GreaterThan(ts,2024-01-15T01:02:03)" in plan_text(df)

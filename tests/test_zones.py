@@ -5,11 +5,15 @@ from __future__ import annotations
 import json
 import math
 import random
+import time
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
+from checking import plan_text
 from pingzones.catalog import derived
+from pingzones.operators import zone_index
 from pingzones.operators.skew import hot_keys, salted_left_join
 from pingzones.operators.zone_index import build_zone_index, default_cell
 from pingzones.operators.zone_join import with_zone
@@ -253,6 +257,84 @@ def test_random_zones(spark, seed):
         index.release()
 
 
+def exactly_inside(polygon_edges, x, y):
+    """``inside`` in the decimal digits that the coordinates are written with."""
+    return inside([tuple(Fraction(repr(v)) for v in e) for e in polygon_edges], Fraction(repr(x)), Fraction(repr(y)))
+
+
+@pytest.mark.parametrize("far", [0, 40, 170, 900, 5000])
+def test_points_on_slanted_edges(spark, far):
+    """On the edge, or next to it; beyond 1,000 the sides are those of doubles."""
+    rnd = random.Random(far)
+    corners = [(round(far + rnd.uniform(0, 1), 3), round(far / 2 + rnd.uniform(0, 1), 3)) for _ in range(3)]
+    rows = [(0, ("slanted", None), ("Polygon", str([[list(c) for c in corners]])))]
+    zones = zones_from_features(spark.createDataFrame(rows, derived.FEATURE_DDL))
+    edges = [tuple(e) for e in zones.first()["edges"]]
+    places = []
+    for k in range(0, 1001, 4):
+        (ax, ay), (bx, by) = (corners[k % 3], corners[(k + 1) % 3])
+        x, y = (float(Fraction(str(a)) + (Fraction(str(b)) - Fraction(str(a))) * k / 1000) for a, b in ((ax, bx), (ay, by)))
+        # Numbers near zero may have more digits than are told apart.
+        beside = max(math.ulp(x), 2e-15)
+        places += [(x, y), (x + beside, y), (x - beside, y)]
+    places = [tuple(float(f"{v:.15f}") for v in place) for place in places]
+    df = points(spark, [(i, y, x) for i, (x, y) in enumerate(places)])
+    index = build_zone_index(zones)
+    test = exactly_inside if far < 1000 else inside
+    wanted = ["slanted" if test(edges, x, y) else "Fuera_de_zona" for x, y in places]
+    assert labels(with_zone(df, index)) == wanted and len(set(wanted)) == 2
+    index.release()
+
+
+def test_z_order_keys(spark):
+    """The key of a cell is that of each cell in it without its last bits."""
+    cells = [(d, x, y) for d in range(4) for x in (-3, 0, 5) for y in (-64, 1, 7)]
+    df = spark.createDataFrame(cells, "depth int, cx long, cy long")
+    found = {}
+    for d in range(4):
+        for r in zone_index.with_key(df.filter(F.col("depth") == d), d, 3).collect():
+            found[r["depth"], r["cx"], r["cy"]] = r["cell"]
+    assert len(set(found.values())) == len(cells)
+    middle = 1 << 27
+    for (d, x, y), key in found.items():
+        bits = [((x * 4 ** (3 - d) + middle) >> b & 1) | ((y * 4 ** (3 - d) + middle) >> b & 1) << 1 for b in range(28)]
+        deepest = sum(v << 2 * b for b, v in enumerate(bits))
+        assert key == deepest >> 4 * (3 - d) | 1 << (56 - 4 * (3 - d))
+
+
+def test_plans_do_not_grow_with_the_depth(spark):
+    """A map that is split again and again: as many jobs a depth, none planned on those before."""
+    rows = []
+    for i in range(400):
+        r = 10.0 ** -(i % 5)
+        x, y = (i * 7919 % 997) / 997 * r, (i * 104729 % 991) / 991 * r
+        rows.append((i, (f"z{i}", None), ("Polygon", str([[[x, y], [x + r / 9, y], [x, y + r / 9]]]))))
+    zones = zones_from_features(spark.createDataFrame(rows, derived.FEATURE_DDL)).cache()
+    index = build_zone_index(zones, 1.0, target_edges=8)
+    assert len(index.splits) >= 3
+    for table in [*index.levels, *index.splits]:
+        text = plan_text(table)
+        assert "Scan parquet" in text and not any(step in text for step in ("Join", "Exchange", "Union"))
+    pings = points(spark, [(i, (i * 31 % 101) / 101 * 10.0 ** -(i % 5), (i * 17 % 103) / 103 * 10.0 ** -(i % 5)) for i in range(1500)])
+    wanted = brute_force(zones, pings)
+    assert labels(with_zone(pings, index)) == wanted and len(set(wanted)) > 50
+    index.release()
+
+
+def test_crowded_map_builds_in_bounded_time(spark, sf):
+    """Small zones by the thousand in one place, four large ones and a strip."""
+    zones = zones_from_features(derived.crowded_features(spark, sf)).cache()
+    assert zones.count() == 1505
+    start = time.monotonic()
+    index = build_zone_index(zones)
+    assert time.monotonic() - start < 60
+    pings = random_points(spark, 300).unionByName(
+        points(spark, [(1000 + i, -17.74 + i % 20 / 1000, -63.21 + i // 20 / 1000) for i in range(400)])
+    )
+    assert labels(with_zone(pings, index)) == brute_force(zones, pings)
+    index.release()
+
+
 @pytest.mark.parametrize("options", [{}, {"broadcast_limit": 0}, {"broadcast_limit": 0, "rows_per_task": 50}])
 @pytest.mark.parametrize("max_edges", [50_000, 8])
 def test_many_zones_every_path(spark, sf, max_edges, options):
