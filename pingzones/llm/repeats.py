@@ -29,9 +29,10 @@ LENGTH = 100
 ANCHOR = 32
 # Anchors that a string of LENGTH bytes chooses from.
 CHOICES = LENGTH - ANCHOR + 1
-# Bytes that are hashed at once, and bytes of contexts in one index.
+# Bytes that are hashed at once, and bytes of contexts in one index: few enough
+# for three ranks in one number.
 CHUNK = 1 << 21
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 3 << 19
 # Contexts of one anchor that a task takes; an anchor with more is made longer.
 ANCHOR_ROWS = 8192
 
@@ -174,7 +175,7 @@ class RunLengthIndex:
     """
 
     def __init__(self, pieces: list[bytes]):
-        sizes = np.array([len(p) + 1 for p in pieces])
+        self.sizes = sizes = np.array([len(p) + 1 for p in pieces])
         self.starts = np.cumsum(sizes) - sizes
         self.text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.uint32) + np.uint32(len(pieces))
         self.text[self.starts + sizes - 1] = np.arange(len(pieces))
@@ -186,19 +187,36 @@ class RunLengthIndex:
         self.run_ends = np.where(self.runs > 0, self.order[self.runs - 1], -1)
 
     def _suffixes(self) -> np.ndarray:
-        """Order of the suffixes, by doubling the number of compared characters."""
-        n, length = len(self.text), 1
-        rank = self.text.astype(np.int64)
+        """Order of the suffixes: by seven characters, then by as many ranks at a time as a number holds.
+
+        A suffix that ends within the characters compared is told by its piece.
+        """
+        n, n_pieces, places = len(self.text), len(self.starts), np.arange(len(self.text))
+        piece = np.repeat(np.arange(n_pieces), self.sizes)
+        left = (self.starts + self.sizes - 1)[piece] - places
+        letter = np.where(left > 0, self.text.astype(np.int64) - n_pieces + 1, 0)
+        ahead = lambda x, by: np.concatenate((x[by:], np.zeros(min(by, n), x.dtype)))
+        key, length = letter.copy(), 7
+        for k in range(1, length):
+            key <<= 9
+            key |= ahead(letter, k) * (left >= k)
         while True:
-            bits = int(rank.max() + 2).bit_length()
-            key = rank
-            for _ in range(max(2, 63 // bits) - 1 if length == 1 else 1):  # as many ranks as a key holds
-                rank = np.r_[rank[length:], np.full(min(length, n), -1)]
-                key = (key << bits) | (rank + 1)
-            length *= max(2, 63 // bits) if length == 1 else 2
-            _, rank = np.unique(key, return_inverse=True)
-            if rank.max() == n - 1:
-                return np.argsort(rank)
+            order = np.argsort(key)
+            key = key[order]
+            dense = np.zeros(n, np.int64)
+            np.cumsum(key[1:] != key[:-1], out=dense[1:])
+            top = int(dense[-1])
+            if top == n - 1:
+                return order
+            rank = np.empty(n, np.int64)
+            rank[order] = dense
+            bits = (top + n_pieces).bit_length()
+            key, more = rank.copy(), 63 // bits
+            rank += n_pieces
+            for k in range(1, more):
+                key <<= bits
+                key |= np.where(left >= k * length, ahead(rank, k * length), piece)
+            length *= more
 
     def matching_statistics(self) -> np.ndarray:
         """For every place: how far its suffix matches the one before it in order."""
