@@ -18,7 +18,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pingzones.llm.common import stored
+from pingzones.llm.common import named, stored
 
 # The words of a text, and the thresholds of the filters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -78,10 +78,6 @@ def order_steps(names: str) -> list[tuple[str, int, int, int]]:
     return rows
 
 
-def _named(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 def failed_sets(
     docs: DataFrame, labels: DataFrame, copies: str | None = "E", text: str = "text", id_: str = "doc_id",
     part: str = "source", filters=text_filters,
@@ -94,8 +90,8 @@ def failed_sets(
     (text, id), so copies of one text do not meet in one task.
     """
     whole = docs.select(
-        _named(id_).alias("id"), F.coalesce(_named(part).cast("string"), F.lit("")).alias("part"),
-        F.coalesce(_named(text), F.lit("")).alias("text"),
+        named(id_).alias("id"), F.coalesce(named(part).cast("string"), F.lit("")).alias("part"),
+        F.coalesce(named(text), F.lit("")).alias("text"),
     ).withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     conditions: Mapping[str, Column] = filters(F.col("text"), F.col("words"))
     bits = [F.when(c, 1 << i).otherwise(0) for i, c in enumerate(conditions.values())]
@@ -114,7 +110,7 @@ def failed_sets(
             F.col("failed") + F.when(F.col("id").isNotNull() & F.col("first").isNull(), 1 << len(letters)).otherwise(0),
         )
         letters += copies
-    known = labels.select(_named(id_).alias("id"), (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
+    known = labels.select(named(id_).alias("id"), (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
     known = known.filter("id IS NOT NULL").groupBy("id").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
     return letters, judged.join(known, "id", "left").select("id", "part", "failed", "good", "toxic")
 

@@ -32,7 +32,31 @@ def _hashable(kind: T.DataType) -> bool:
 def row_hash(df: DataFrame, *also) -> Column:
     """64 bits from all columns that can be hashed; equal rows have equal hashes."""
     names = sorted(f.name for f in df.schema if _hashable(f.dataType))
-    return F.xxhash64(*[F.col(f"`{n}`") for n in names], *also)
+    return F.xxhash64(*[named(n) for n in names], *also)
+
+
+def identity(df: DataFrame) -> dict[str, Column]:
+    """128 bits that tell rows apart, as two columns; ``_unit`` is ``row_hash``."""
+    return {"_unit": row_hash(df), "_check": row_hash(df, F.lit("check"))}
+
+
+IDENTITY = ["_unit", "_check"]
+
+
+def named(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def placed(df: DataFrame, **added: Column) -> DataFrame:
+    """Columns by their place (c0, c1, ...) and ``added`` ones, so that no name of theirs clashes or has a dot."""
+    here = [named(c).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    return df.select(*here, *[v.alias(k) for k, v in added.items()])
+
+
+def named_again(placed_: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns of ``df`` from a table made of ``placed(df)``."""
+    return placed_.select(*[f"c{i}" for i in range(len(df.columns))]).toDF(*df.columns)
 
 
 def uniform(*parts) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pingzones.llm.common import row_hash, stored
+from pingzones.llm.common import IDENTITY, identity, named_again, placed, stored
 
 # Which characters make a word (after A-Z are lower-cased), and the window.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -168,6 +168,8 @@ def contamination(
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs."""
-    narrow = docs.select(row_hash(docs).alias("doc_id"), F.col(text).alias("text"))
-    hit = contamination(narrow, items, window).filter("contaminated").select(F.col("doc_id").alias("_unit")).distinct()
-    return docs.withColumn("_unit", row_hash(docs)).join(hit, "_unit", "left_anti").select(*docs.columns)
+    whole = placed(docs, **identity(docs))
+    unit = F.struct(*IDENTITY)
+    narrow = whole.select(unit.alias("doc_id"), F.col(f"c{docs.columns.index(text)}").alias("text"))
+    hit = contamination(narrow, items, window).filter("contaminated").select("doc_id.*").distinct()
+    return named_again(whole.join(hit, IDENTITY, "left_anti"), docs)

@@ -37,7 +37,7 @@ SMOOTHING = 0.5
 # A prediction below this is no acceptance.
 LEAST_SCORE = 0.5
 # Unseen words whose score a task remembers.
-REMEMBERED = 50_000
+REMEMBERED = 200_000
 
 _WORD = regex.compile(r"\p{L}+")
 
@@ -80,21 +80,21 @@ def _as_batch(counts: dict[str, Counter]) -> pa.RecordBatch:
 
 
 def _most_frequent(counts: DataFrame, most: int, langs: list[str]) -> tuple[list[str], np.ndarray]:
-    """The frequent entries, ``most`` of them or a little less, and their counts in each language.
+    """The ``most`` frequent entries, of equal ones the first by name, and their counts in each language.
 
-    The least frequency comes from a histogram in small steps, so no task sends
-    more than what is taken.
+    A histogram in small steps tells which entries are taken; only those of the step
+    that is taken in part are put in order.
     """
     per_lang = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)]
     table = counts.groupBy("entry").agg(F.sum("n").alias("n"), *per_lang)
     table = stored(table.withColumn("step", F.floor(F.log2("n") * STEPS)), "language-entries")
-    taken, least = 0, None
+    left, rows = most, table
     for r in table.groupBy("step").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect():
-        taken += r["n"]
-        if taken > most:
+        if r["n"] > left:
+            in_part = table.filter(F.col("step") == r["step"]).orderBy(F.desc("n"), "entry").limit(left)
+            rows = table.filter(F.col("step") > r["step"]).unionByName(in_part)
             break
-        least = r["step"]
-    rows = table.filter(F.lit(False) if least is None else F.col("step") >= least)
+        left -= r["n"]
     rows = rows.drop("n", "step").toPandas().sort_values("entry")
     return rows["entry"].tolist(), rows.drop(columns="entry").to_numpy(np.float64).reshape(-1, len(langs))
 
@@ -109,29 +109,31 @@ class LanguageModel:
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean score of the longest known n-grams, one from each place of the word."""
-        marked, total = MARK + word + MARK, np.zeros(len(self.languages))
+        marked, found = MARK + word + MARK, []
         for i in range(len(marked)):
             for k in range(min(LONGEST, len(marked) - i), 0, -1):
                 at = self.grams.get(marked[i : i + k])
                 if at is not None:
-                    total += self.gram_scores[at]
+                    found.append(at)
                     break
-        return total / len(marked)
+        return self.gram_scores[found].sum(axis=0) / len(marked)
 
     def predict(self, text: str | None, remembered: dict[str, np.ndarray]) -> tuple[str, float]:
         found = _WORD.findall(text.lower()) if text else []
         if not found or not self.languages:
             return UNKNOWN, 0.0
-        at = [self.words.get(w, -1) for w in found]
-        total = self.word_scores[[a for a in at if a >= 0]].sum(axis=0)
-        for word, a in zip(found, at):
-            if a < 0:
-                score = remembered.get(word)
-                if score is None:
-                    if len(remembered) >= REMEMBERED:
-                        remembered.clear()
-                    score = remembered[word] = self.unseen(word)
-                total = total + score
+        at = list(map(self.words.get, found))
+        total = self.word_scores[[a for a in at if a is not None]].sum(axis=0)
+        scores = []
+        for word in [w for w, a in zip(found, at) if a is None]:
+            score = remembered.get(word)
+            if score is None:
+                if len(remembered) >= REMEMBERED:
+                    remembered.clear()
+                score = remembered[word] = self.unseen(word)
+            scores.append(score)
+        if scores:
+            total = total + np.sum(scores, axis=0)
         best = int(np.argmax(total))
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pingzones.llm.common import row_hash, stored, uniform, words
+from pingzones.llm.common import IDENTITY, identity, named, named_again, placed, stored, uniform, words
 
 # Documents that one task rounds one after the other.
 BLOCK_ROWS = 1_000
@@ -127,10 +127,10 @@ def _copies(docs: DataFrame, weights, share: float, cap: float, seed: int, sourc
     """One row per distinct document: ``_unit``, how many rows it has, copies of all."""
     units = stored(
         docs.select(
-            F.col(source).alias("source"), F.col(id_).alias("doc_id"),
-            words(text).alias("_size"), row_hash(docs).alias("_unit"),
+            named(source).alias("source"), named(id_).alias("doc_id"),
+            words(named(text)).alias("_size"), *[c.alias(n) for n, c in identity(docs).items()],
         )
-        .groupBy("source", "doc_id", "_size", "_unit")
+        .groupBy("source", "doc_id", "_size", *IDENTITY)
         .agg(F.count(F.lit(1)).alias("_rows")),
         "mix-units",
     )
@@ -206,12 +206,12 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix`` takes it; columns as in ``docs``."""
     units = _copies(docs, weights, share, cap, seed, source, id_, text).select(
-        "_unit", "_rows", F.col("copies").alias("_copies")
+        *IDENTITY, "_rows", F.col("copies").alias("_copies")
     )
-    keyed = docs.withColumn("_unit", row_hash(docs))
+    keyed = placed(docs, **identity(docs))
     number = F.when(F.col("_rows") == 1, 1).otherwise(
-        F.row_number().over(Window.partitionBy("_unit").orderBy("_unit"))
+        F.row_number().over(Window.partitionBy(*IDENTITY).orderBy("_unit"))
     )
-    joined = keyed.join(units, "_unit").withColumn("_number", number)
+    joined = keyed.join(units, IDENTITY).withColumn("_number", number)
     times = F.array_repeat(F.lit(0), _share_of_row(F.col("_number"), "_copies").cast("int"))
-    return joined.withColumn("_copy", F.explode(times)).select(*docs.columns)
+    return named_again(joined.withColumn("_copy", F.explode(times)), docs)

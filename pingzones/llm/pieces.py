@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pingzones.llm.common import named
+
 # Fixed values of the vocabulary format: the mark that stands for a space, piece
 # kinds, what an unknown id is shown as, and what a wrong byte is replaced by.
 SPACE = "▁"
@@ -346,7 +348,7 @@ def _with_columns(
     """``rows`` with columns ``out``: ``values(column, model)`` yields them in parts, in order."""
     kept = [c for c in (rows.columns if carry is None else carry) if c not in out]
     # Columns go by their place, as Arrow functions take no names with dots.
-    given = rows.select(*[F.col(f"`{c}`") for c in [*kept, source]]).toDF(*[f"c{i}" for i in range(len(kept) + 1)])
+    given = rows.select(*[named(c) for c in [*kept, source]]).toDF(*[f"c{i}" for i in range(len(kept) + 1)])
     places = [f"c{i}" for i in range(len(kept) + len(out))]
     shared = rows.sparkSession.sparkContext.broadcast(model)
 

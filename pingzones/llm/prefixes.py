@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pingzones.llm.common import stored
+from pingzones.llm.common import named, stored
 from pingzones.operators.skew import salted_left_join
 
 # A conversation is rebuilt on the first of its group of this many ids ...
@@ -33,10 +33,6 @@ BLOCK = 4096
 _NODE = ["depth", "key_a", "key_b"]
 
 
-def _named(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 def turns_in_order(
     conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
@@ -47,10 +43,10 @@ def turns_in_order(
     counted within each; what a conversation has in the tasks before is added, so
     a long one is shared out.
     """
-    role_, text_ = (F.coalesce(_named(c).cast("string"), F.lit("")) for c in (role, text))
+    role_, text_ = (F.coalesce(named(c).cast("string"), F.lit("")) for c in (role, text))
     digest = F.unhex(F.md5(F.concat(F.octet_length(role_).cast("string"), F.lit(":"), role_, text_)))
-    slim = conversations.filter(_named(conv_id).isNotNull()).select(
-        _named(conv_id).cast("long").alias("conv_id"), _named(turn).alias("turn"), digest.alias("digest"),
+    slim = conversations.filter(named(conv_id).isNotNull()).select(
+        named(conv_id).cast("long").alias("conv_id"), named(turn).alias("turn"), digest.alias("digest"),
         F.octet_length(text_).cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("copy"),
     )
     order = [F.col("conv_id"), F.asc_nulls_first("turn"), F.col("digest"), F.col("copy")]

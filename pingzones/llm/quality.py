@@ -59,13 +59,15 @@ def _features(docs: DataFrame, text: str) -> DataFrame:
 def document_scores(docs: DataFrame, labels: DataFrame, text: str, id_: str, sites: dict[str, Column]) -> DataFrame:
     """(doc_id, sites, p): probability of being good, of every row.
 
-    Good means a quality of 1 and not toxic.  Labels with a null are left out;
+    Good means a quality of 1 and not toxic.  Labels with a null are left out, and of
+    several labels of one document the worse one counts;
     with one kind of label only, every document has that probability, with none 0.5.
     """
     known = labels.filter("doc_id is not null and quality is not null").select(
         "doc_id", ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1)).cast("double").alias("label")
     )
-    chosen = stored(known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED), "quality-labels")
+    known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
+    chosen = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED), "quality-labels")
     rows = docs.select(F.col(id_).alias("doc_id"), F.col(text).alias("_text"), *[c.alias(n) for n, c in sites.items()])
     # The documents of at most MAX_LABELLED labels, as often as the optimiser asks for them.
     sample = stored(rows.join(F.broadcast(chosen), "doc_id").select("_text", "label"), "quality-sample")

@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pingzones.llm.common import prefix_of_partitions, stored
+from pingzones.llm.common import named, prefix_of_partitions, stored
 
 # Bytes that a document takes besides its text.
 ROW_BYTES = 8
 
 
-def document_bytes(text: str = "text") -> Column:
+def document_bytes(text: Column | str = "text") -> Column:
     """UTF-8 bytes of the text, none for null, plus ``ROW_BYTES``."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES
 
@@ -54,17 +54,20 @@ def contiguous_shards(
     A shard's bytes differ from the mean by less than the largest document.
     A null text counts as ``ROW_BYTES`` only; a null id sorts first; equal rows
     are interchangeable; an empty table gives no rows.  Columns of ``docs`` that
-    bear one of the three new names are replaced; names beginning with ``_`` are
-    reserved.  The result is read from a written table, so it stays the same.
+    bear one of the three new names are replaced.  The result is read from a written
+    table, so it stays the same.
     """
     kept = [c for c in carry or docs.columns if c not in ("size", "shard", "slot")]
-    order = ["_hash", key]
+    # Columns go by their place, so that none clashes with those added here.
+    places = [f"c{i}" for i in range(len(kept))]
     lined_up = (
-        docs.withColumns({"_size": document_bytes(text), "_hash": F.xxhash64(text)})
-        .select(*kept, "_size", "_hash")
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .drop("_hash")
+        docs.select(
+            *[named(c).alias(p) for c, p in zip(kept, places)], document_bytes(named(text)).alias("_size"),
+            F.xxhash64(named(text)).alias("_hash"), named(key).alias("_key"),
+        )
+        .repartitionByRange("_hash", "_key")
+        .sortWithinPartitions("_hash", "_key")
+        .drop("_hash", "_key")
     )
     schema = T.StructType(
         [
@@ -88,5 +91,5 @@ def contiguous_shards(
     # One row per shard: its first place in the line.
     first = placed.groupBy("shard").agg(F.min("_rank").alias("_first"))
     return placed.join(F.broadcast(first), "shard").select(
-        *kept, F.col("_size").alias("size"), "shard", (F.col("_rank") - F.col("_first")).alias("slot")
-    )
+        *places, F.col("_size").alias("size"), "shard", (F.col("_rank") - F.col("_first")).alias("slot")
+    ).toDF(*kept, "size", "shard", "slot")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pingzones.llm.common import row_hash, stored
+from pingzones.llm.common import IDENTITY, identity, named_again, placed, stored
 from pingzones.llm.components import components
 
 BITS = 64
@@ -227,11 +227,13 @@ def one_of_each_group(
     Rows with a null id come last; among rows of one id the row's hash decides,
     and of equal rows any one stays.
     """
-    narrow = docs.select(F.col(id_).alias("doc_id"), row_hash(docs).alias("_unit"), F.col(text).alias("text"))
+    whole = placed(docs, **identity(docs))
+    id_, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_, text))
+    narrow = whole.select(id_.alias("doc_id"), F.struct(*IDENTITY).alias("_row"), text.alias("text"))
     rows, groups = _labelled(narrow, "text", shingle, distance)
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_unit"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
     per_print = rows.groupBy("_fp").agg(F.min(order).alias("_first")).join(groups, "_fp")
-    chosen = per_print.groupBy("_group").agg(F.min("_first").alias("_first")).select("_first._unit").distinct()
-    of_equal = F.row_number().over(Window.partitionBy("_unit").orderBy("_unit"))
-    kept = docs.withColumn("_unit", row_hash(docs)).join(stored(chosen, "simhash-chosen"), "_unit")
-    return kept.withColumn("_copy", of_equal).filter("_copy = 1").select(*docs.columns)
+    chosen = per_print.groupBy("_group").agg(F.min("_first").alias("_first")).select("_first._row.*").distinct()
+    of_equal = F.row_number().over(Window.partitionBy(*IDENTITY).orderBy("_unit"))
+    kept = whole.join(stored(chosen, "simhash-chosen"), IDENTITY)
+    return named_again(kept.withColumn("_copy", of_equal).filter("_copy = 1"), docs)
