@@ -1,4 +1,12 @@
-"""The training-data pipeline: five stages over ``documents``, each written and read again."""
+"""The training-data pipeline: five stages over ``documents``, each written and read again.
+
+Stages take the documents that the one before has kept, with whatever columns they
+have, and give back the same columns; the last adds ``size``, ``shard`` and ``slot``
+in place of any of that name.  Rows are told apart by all their columns, so rows that
+repeat an id are documents of their own, and equal rows are copies.  A text that is
+null or has no letter goes in the first stage, as its language cannot be told.  An
+empty table passes through all of them.
+"""
 
 from __future__ import annotations
 
@@ -10,27 +18,27 @@ from pingzones.llm.common import stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without a letter or in doubt go."""
+    """Documents whose language is told; null texts, those without a letter or in doubt go."""
     return language.in_known_language(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
+    """One document of each group of linked fingerprints: the smallest id, null last, then the least row hash."""
     return simhash.one_of_each_group(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark window occurs."""
+    """Documents in which no benchmark window occurs; items without a word have none."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of the sources takes it."""
+    """Each document as often as the mix takes it; a null source is one of its own."""
     return mixing.mixed_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its shard and its place there."""
+    """Every document with its shard and its place there; copies each have a place."""
     return sharding.contiguous_shards(docs, SHARDS)
 
 
@@ -48,6 +56,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of ``sf_dir`` that the stages keep, sharded; each stage but the last is written first."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
