@@ -95,7 +95,8 @@ def rebuilt(turns: DataFrame, group: int = GROUP, most_shared: int = MOST_SHARED
         "conv_id", F.col("place").alias("depth"), "digest", "n_bytes", "source", "place"
     )
     sizes = plan.select("conv_id", (F.col("taken") + F.greatest(F.lit(0), F.col("n") - F.col("shared"))).alias("n_turns"))
-    return of_own.unionByName(of_first), sizes
+    # Written, so that the join may split a hot conversation whatever comes next.
+    return stored(of_own.unionByName(of_first), "trie-rebuilt"), sizes
 
 
 def _prefixes(turns: DataFrame) -> DataFrame:
