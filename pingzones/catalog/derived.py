@@ -7,6 +7,8 @@ Spark and the checking database read alike.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -203,10 +205,17 @@ CROWDED_BOXES = """
     FROM region WHERE r_regionkey = 4"""
 
 
+BOXES_PER_TASK = 10_000
+
+
 def crowded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GeoJSON features of the crowded map, as columns of ``FEATURE_DDL``."""
     tables = {name: table(spark, sf_dir, name) for name in ("customer", "region")}
     boxes = spark.sql(CROWDED_BOXES.replace("FROM customer", "FROM {customer}").replace("FROM region", "FROM {region}"), **tables)
+    # A customer file of a few megabytes holds more zones than one task should parse.
+    tasks = math.ceil(tables["customer"].count() / BOXES_PER_TASK)
+    if tasks > 1:
+        boxes = boxes.repartition(tasks, "ord")
     corner = lambda a, b: F.array(F.col(a), F.col(b))
     first = corner("x0", "y0")
     ring = F.array(first, corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), first)

@@ -27,11 +27,14 @@ from pyspark.sql import functions as F
 
 from pingzones.functions.geometry import cross, odd_crossings
 from pingzones.operators.shared_folder import new_folder, release, written
+from pingzones.operators.skew import BROADCAST_KEYS
 
 CELLS_PER_ZONE = 1024
 MIN_CELLS_PER_ZONE = 16
 # Cells of the first grid, beyond which zones get fewer each.
 MAX_ENTRIES = 100_000
+# Zone and cell pairs of the first grid, in all or for each zone, beyond which it starts coarser.
+FIRST_ENTRIES, FIRST_PER_ZONE = 400_000, 2
 TARGET_EDGES = 100
 MAX_EDGES_PER_ROW = 50_000
 # A power of two, so that cells of different depths nest exactly.
@@ -48,9 +51,13 @@ _CELL_BITS = 28
 _DEPTH_BITS = 2 * (SIDE.bit_length() - 1)
 # Zone cells and edges that one task works on.
 CELLS_PER_TASK, EDGES_PER_TASK = 5_000, 50_000
+# Entries of the first round of a split, and how much more each further round takes.
+ROUND_ENTRIES, ROUND_GROWTH = 50_000, 8
 # Upper estimates of the bytes of one edge, zone entry and cell in a hash table.
 _EDGE_BYTES, _ENTRY_BYTES, _CELL_BYTES = 48, 128, 96
 WINNER_TYPE = "struct<ord:bigint,name:string>"
+# A zone in a cell: the box is that of the whole zone, the edges are those that the cell needs.
+_ENTRY = ("cx", "cy", "ord", "name", "x0", "x1", "y0", "y1", "covers", "edges")
 
 
 @dataclass
@@ -160,15 +167,30 @@ class _Box:
         self.middle = f"((cx + 0.5D) * {c})", f"((cy + 0.5D) * {c})"
         self.beside = f"greatest(e.ay, e.by) >= {self.south} AND least(e.ay, e.by) <= {self.north}"
 
+    def cells_of_zone(self, axis: str) -> tuple[str, str]:
+        """First and last cell of the zone's box along ``x`` or ``y``."""
+        return f"floor({axis}0 / {self.cell!r}D)", f"floor({axis}1 / {self.cell!r}D)"
+
+    def holds_zone(self) -> str:
+        """Whether one cell holds the whole box of the zone."""
+        return " AND ".join(f"{a} = {b}" for a, b in map(self.cells_of_zone, "xy"))
+
     def runs_through(self) -> str:
-        corners = ", ".join(cross("e", x, y) for x in (self.west, self.east) for y in (self.south, self.north))
+        # The corners where the cross product is least and greatest, by the direction of the edge.
+        least = cross(
+            "e", f"IF(e.by > e.ay, {self.east}, {self.west})", f"IF(e.bx > e.ax, {self.south}, {self.north})"
+        )
+        greatest = cross(
+            "e", f"IF(e.by > e.ay, {self.west}, {self.east})", f"IF(e.bx > e.ax, {self.north}, {self.south})"
+        )
         return f"""least(e.ax, e.bx) <= {self.east} AND greatest(e.ax, e.bx) >= {self.west}
-            AND {self.beside} AND NOT (least({corners}) > 0 OR greatest({corners}) < 0)"""
+            AND {self.beside} AND {least} <= 0 AND {greatest} >= 0"""
 
 
 def _clipped(cells: DataFrame, box: _Box) -> DataFrame:
-    """``cells`` with only the edges that a ray leaving the cell eastwards needs.
+    """``cells`` with only the edges that a ray leaving the cell eastwards needs, and whether the zone is ``_whole``.
 
+    A zone that lies in one cell as a whole needs all of its edges there.
     Of an edge entirely east of the cell only the heights of its ends matter: a
     ray at height y meets it if one end lies above y and the other does not.
     Heights that occur twice cancel out, as the inner corners of a border do, and
@@ -184,11 +206,12 @@ def _clipped(cells: DataFrame, box: _Box) -> DataFrame:
                           ELSE concat(left, array(v)) END)"""
     upright = """filter(transform(_heights, (v, i) ->
         named_struct('ax', _x, 'ay', v, 'bx', _x, 'by', get(_heights, i + 1))), (e, i) -> i % 2 = 0)"""
+    cells = cells.withColumn("_whole", F.expr(box.holds_zone()))
     cells = _once(
         cells,
-        _far=f"filter(edges, e -> least(e.ax, e.bx) > {box.east} AND {box.beside})",
-        _local=f"filter(edges, e -> least(e.ax, e.bx) <= {box.east}"
-        f" AND greatest(e.ax, e.bx) >= {box.west} AND {box.beside})",
+        _far=f"filter(IF(_whole, slice(edges, 1, 0), edges), e -> least(e.ax, e.bx) > {box.east} AND {box.beside})",
+        _local=f"IF(_whole, edges, filter(edges, e -> least(e.ax, e.bx) <= {box.east}"
+        f" AND greatest(e.ax, e.bx) >= {box.west} AND {box.beside}))",
     ).filter("size(_far) > 0 OR size(_local) > 0")
     cells = _once(cells, _heights=uncancelled, _x="array_max(transform(_far, e -> greatest(e.ax, e.bx)))")
     return _once(cells.drop("edges"), edges=f"concat(_local, {upright})").drop("_far", "_local", "_heights", "_x")
@@ -201,12 +224,13 @@ def _once(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def _touched(cells: DataFrame, box: _Box) -> DataFrame:
-    """Of zone and cell pairs those that meet: ``cx, cy, ord, name, covers, edges``."""
+    """Of zone and cell pairs those that meet, as columns ``_ENTRY``."""
+    met = _once(_clipped(cells, box), border=f"_whole OR exists(edges, e -> {box.runs_through()})")
     return (
-        _once(_clipped(cells, box), border=f"exists(edges, e -> {box.runs_through()})")
-        .withColumn("covers", F.expr(f"NOT border AND {odd_crossings('edges', *box.middle)}"))
+        _once(met, covers=f"NOT border AND {odd_crossings('edges', *box.middle)}")
         .filter("border OR covers")
-        .selectExpr("cx", "cy", "ord", "name", "covers", "IF(border, edges, NULL) AS edges")
+        .withColumn("edges", F.expr("IF(border, edges, NULL)"))
+        .select(*_ENTRY)
     )
 
 
@@ -216,31 +240,55 @@ def _first_grid(zones: DataFrame, box: _Box, tasks: int) -> DataFrame:
     A zone file is one task's input and one zone may fill most of the grid, so
     the work is dealt out by zone and grid row.
     """
-    c = f"{box.cell!r}D"
-    rows = zones.selectExpr(
-        *("ord", "name", "x0", "x1", "edges"),
-        f"explode(sequence(floor(y0 / {c}), floor(y1 / {c}))) AS cy",
-    ).withColumn("edges", F.expr(f"filter(edges, e -> {box.beside})"))
+    def steps(axis):
+        return f"explode(sequence({', '.join(box.cells_of_zone(axis))})) AS c{axis}"
+
+    rows = zones.selectExpr("ord", "name", "x0", "x1", "y0", "y1", "edges", steps("y"))
+    rows = rows.withColumn("edges", F.expr(f"filter(edges, e -> {box.beside})"))
     if tasks > 1:
         rows = rows.repartition(tasks, "ord", "cy")
-    cells = rows.selectExpr(
-        *("ord", "name", "edges", "cy"),
-        f"explode(sequence(floor(x0 / {c}), floor(x1 / {c}))) AS cx",
-    )
-    return _touched(cells, box)
+    return _touched(rows.selectExpr("*", steps("x")), box)
 
 
-def _children(entries: DataFrame, box: _Box, tasks: int) -> DataFrame:
-    """Zones by the cells of the next depth; ``box`` is of that depth.
+def _children(entries: DataFrame, box: _Box, tasks: int, covering: DataFrame | None = None) -> DataFrame:
+    """Zones by the cells of the next depth that their boxes meet; ``box`` is of that depth.
 
     Dealt out by zone as well, as one crowded cell may hold most of the work.
+    Behind the zones known as ``covering`` nothing is worked out.
     """
     entries = entries.repartition(tasks, "ord", "cx", "cy")
-    for axis in ("cx", "cy"):
-        steps = f"explode(sequence({axis} * {SIDE}, {axis} * {SIDE} + {SIDE - 1})) AS {axis}"
-        entries = entries.selectExpr(*[k for k in entries.columns if k != axis], steps)
-    covered = entries.filter("covers").select("cx", "cy", "ord", "name", "covers", "edges")
-    return covered.unionByName(_touched(entries.filter("NOT covers"), box))
+    inner, rest = entries.filter("covers"), entries.filter("NOT covers").drop("covers")
+    for axis in "xy":
+        low, high = f"c{axis} * {SIDE}", f"c{axis} * {SIDE} + {SIDE - 1}"
+        first, last = box.cells_of_zone(axis)
+        others = [k for k in rest.columns if k != f"c{axis}"]
+        inner = inner.selectExpr(*others, "covers", f"explode(sequence({low}, {high})) AS c{axis}")
+        # Between numbers that may be far apart, an empty sequence would run downwards.
+        within = f"filter(sequence({low}, {high}), i -> i BETWEEN {first} AND {last})"
+        rest = rest.selectExpr(*others, f"explode({within}) AS c{axis}")
+    if covering is not None:
+        rest = _reachable(rest, covering)
+    return inner.select(*_ENTRY).unionByName(_touched(rest, box))
+
+
+def _reachable(entries: DataFrame, covering: DataFrame) -> DataFrame:
+    """Entries up to the first zone that covers their cell."""
+    return entries.join(covering, ["cx", "cy"], "left").filter("first IS NULL OR ord <= first").drop("first")
+
+
+def _first_of_alike(entries: DataFrame) -> DataFrame:
+    """Of zones with the same edges in a cell the first: the others hold the same points of it and never win there.
+
+    No split parts borders that run along one line, as those of zones drawn twice or side by side.
+    """
+    alike = ["cx", "cy", "covers", "edges"]
+    zone = F.struct(*[c for c in _ENTRY if c not in alike])
+    return entries.groupBy(*alike).agg(F.min(zone).alias("zone")).select(*alike, "zone.*").select(*_ENTRY)
+
+
+def _broadcast(keys: DataFrame) -> DataFrame:
+    """A written table of cells, broadcast unless there are too many: the entries of a crowded cell need not meet."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
 def _edges_of(edges: str) -> Column:
@@ -270,13 +318,52 @@ class _Quadtree:
             entries.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("entries"), F.sum("n_edges").alias("edges")), name
         )
 
-    def _touching(self, entries: DataFrame, name: str) -> DataFrame:
-        """Entries written, up to the first zone that covers their cell."""
-        return _reachable(self._write(entries.withColumn("n_edges", _edges_of("edges")), name))
+    def _touching(self, rounds: list, depth: int) -> DataFrame:
+        """Entries written, up to the first zone that covers their cell, of those alike only the first.
+
+        Each of ``rounds`` makes entries, given the covering zones found by those before it.
+        """
+        met, covering = None, None
+        for k, entries in enumerate(rounds):
+            part = self._write(entries(covering), f"met-{depth}/{k}")
+            met = part if met is None else met.unionByName(part)
+            first = met.filter("covers").groupBy("cx", "cy").agg(F.min("ord").alias("first"))
+            covering = _broadcast(self._write(first, f"covering-{depth}/{k}"))
+        kept = _first_of_alike(_reachable(met, covering)).withColumn("n_edges", _edges_of("edges"))
+        kept = self._write(kept, f"touching-{depth}")
+        release(self.spark, f"{self.folder}/met-{depth}")
+        return kept
+
+    def _rounds(self, current: DataFrame, crowded: DataFrame, work, box: _Box, depth: int) -> list:
+        """The work of splitting crowded cells: a few of the first zones of each cell, then more and more.
+
+        Where zones lie behind each other, the first ones cover most of the cells, and
+        the many behind them are left out before their edges are looked at.
+        """
+        keys = ["cx", "cy"]
+        entries = current.join(_broadcast(crowded.select(*keys)), keys, "left_semi").drop("n_edges")
+        # A border runs through about SIDE of the cells, and a zone smaller than them meets four at most.
+        tasks = _tasks(SIDE * work[0], SIDE * work[1])
+        shares, share = [], ROUND_ENTRIES / work[0]
+        while share <= 1 / 2:
+            shares.append(share)
+            share *= ROUND_GROWTH
+        if not shares:
+            return [lambda covering: _children(entries, box, tasks)]
+        ords = entries.groupBy(*keys).agg(F.percentile_approx("ord", shares, 100).alias("cuts"))
+        cuts = _broadcast(self._write(ords, f"cuts-{depth}"))
+        entries = entries.join(cuts, keys).withColumn("round", F.expr("size(filter(cuts, c -> ord > c))")).drop("cuts")
+
+        def work_of(k, part):
+            chosen = entries.filter(F.col("round") == k).drop("round")
+            return lambda covering: _children(chosen, box, math.ceil(tasks * part), covering)
+
+        ends = [0, *shares, 1]
+        return [work_of(k, ends[k + 1] - ends[k]) for k in range(len(ends) - 1)]
 
     def _leaves(self, entries: DataFrame, depth: int) -> None:
         """Keep the entries of cells that are not split any further."""
-        keyed = with_key(entries, depth, self.depths).withColumn("depth", F.lit(depth))
+        keyed = with_key(entries.drop("x0", "x1", "y0", "y1"), depth, self.depths).withColumn("depth", F.lit(depth))
         keyed.write.parquet(f"{self.folder}/leaves/at={depth}")
         most = self.spark.read.parquet(f"{self.folder}/leaves/at={depth}").groupBy("cell").agg(
             F.sum("n_edges").alias("edges")
@@ -285,22 +372,17 @@ class _Quadtree:
 
     def grow(self, first: DataFrame) -> None:
         """Split crowded cells where that parts their edges."""
-        current = self._touching(first, "touching-0")
+        current = self._touching([lambda covering: first], 0)
         counts = self._counts(current, "counts-0")
         total = counts.agg(F.sum("edges")).first()[0] or 0
         budget, cell = MAX_GROWTH * total, self.cell
         for depth in range(self.depths):
-            crowded = counts.filter(F.col("edges") > self.target)
+            crowded = self._write(counts.filter(F.col("edges") > self.target), f"crowded-{depth}")
             work = crowded.agg(F.sum("entries"), F.sum("edges")).first()
             if not work[0]:
                 break
             cell /= SIDE
-            n = SIDE * SIDE
-            children = _children(
-                current.join(crowded.select("cx", "cy"), ["cx", "cy"], "left_semi").drop("n_edges"),
-                _Box(cell, self.reach), _tasks(n * work[0], n * work[1]),
-            )
-            tried = self._touching(children, f"touching-{depth + 1}")
+            tried = self._touching(self._rounds(current, crowded, work, _Box(cell, self.reach), depth), depth + 1)
             inner = self._counts(tried, f"tried-{depth + 1}")
             up = {a: F.floor(F.col(a) / SIDE) for a in ("cx", "cy")}
             after = inner.groupBy(up["cx"].alias("cx"), up["cy"].alias("cy")).agg(F.sum("edges").alias("after"))
@@ -314,7 +396,7 @@ class _Quadtree:
             if not s[0] or total + s[1] > budget:
                 break
             total, self.n_splits = total + s[1], self.n_splits + s[0]
-            chosen = chosen.select("cx", "cy")
+            chosen = _broadcast(chosen.select("cx", "cy"))
             self.splits.append(self._write(with_key(chosen, depth, self.depths).select("cell"), f"splits/at={depth}"))
             self._leaves(current.join(chosen, ["cx", "cy"], "left_anti"), depth)
             parents = chosen.withColumnsRenamed({"cx": "_px", "cy": "_py"})
@@ -339,7 +421,7 @@ class _Quadtree:
     def tidy(self) -> None:
         """Delete what only building needed."""
         for depth in range(len(self.splits) + 2):
-            for name in ("touching", "counts", "tried", "chosen"):
+            for name in ("covering", "cuts", "touching", "counts", "tried", "crowded", "chosen"):
                 release(self.spark, f"{self.folder}/{name}-{depth}")
         release(self.spark, f"{self.folder}/leaves")
 
@@ -353,7 +435,8 @@ def build_zone_index(
     """Index a zone table.  Runs a few small jobs over the zones; the cells stay written and cached."""
     spark = zones.sparkSession
     folder = new_folder(spark, "zones")
-    usable = written(zones.filter(F.size("edges") > 0), folder)
+    # Filtered once written: a filter before would work out the edges a second time.
+    usable = written(zones, folder).filter(F.size("edges") > 0)
     width, height = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     s = usable.agg(
         F.count(F.lit(1)).alias("n"),
@@ -371,8 +454,12 @@ def build_zone_index(
     bounds = (s["x0"], s["x1"], s["y0"], s["y1"])
     reach = max(abs(b) for b in bounds)
     extent = max(s["x1"] - s["x0"], s["y1"] - s["y0"])
-    cell = max(cell or default_cell(s["n"], s["area"], extent, s["spans"]), reach * FINEST)
-    n_cells = usable.agg(F.sum((F.floor(width / cell) + 2) * (F.floor(height / cell) + 2))).first()[0]
+    start = max(cell or default_cell(s["n"], s["area"], extent, s["spans"]), reach * FINEST)
+    # An index of many zones starts from coarser cells: only the crowded ones are split to the size of their zones.
+    sizes = [start * SIDE**k for k in range(1 if cell else MAX_DEPTH + 1)]
+    pairs = usable.agg(*[F.sum((width / c + 1) * (height / c + 1)) for c in sizes]).first()
+    most = max(FIRST_ENTRIES, FIRST_PER_ZONE * s["n"])
+    cell, n_cells = next((p for p in zip(sizes, pairs) if p[1] <= most), (sizes[-1], pairs[-1]))
 
     tree = _Quadtree(spark, cell, reach, target_edges, deepest(cell, reach))
     tree.grow(_first_grid(usable, _Box(cell, reach), _tasks(n_cells, s["edges"])))
@@ -385,16 +472,6 @@ def build_zone_index(
     )
 
 
-def _reachable(entries: DataFrame) -> DataFrame:
-    """Entries up to the first zone that covers their cell."""
-    covering = entries.filter("covers").groupBy("cx", "cy").agg(F.min("ord").alias("first"))
-    return (
-        entries.join(covering, ["cx", "cy"], "left")
-        .filter("first IS NULL OR ord <= first")
-        .drop("first")
-    )
-
-
 def _cells(entries: DataFrame) -> DataFrame:
     """One row per level and cell: the first zone covering it and the border zones before that one."""
     grouped = entries.groupBy("level", "cell").agg(

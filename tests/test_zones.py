@@ -381,6 +381,67 @@ def test_crowded_cells_keep_only_what_can_win(spark):
     ]
 
 
+def crowd(spark, rnd, n, copies=1):
+    """Boxes of mixed sizes that lie behind each other, each drawn ``copies`` times, and a large one last."""
+    boxes = [(rnd.uniform(0, 1), rnd.uniform(0, 1), rnd.uniform(0.05, 0.2)) for _ in range(n)]
+    rows = [(i, x, y, x + r, y + r) for i, (x, y, r) in enumerate(boxes * copies)] + [(n * copies, -9.0, -9.0, 9.0, 9.0)]
+    rows = [
+        (i, (f"z{i}", None), ("Polygon", str([[[x0, y0], [x1, y0], [x1, y1], [x0, y1]]]))) for i, x0, y0, x1, y1 in rows
+    ]
+    return zones_from_features(spark.createDataFrame(rows, derived.FEATURE_DDL)).cache()
+
+
+def entries_of(index):
+    return sum(level.select(F.sum(F.coalesce(F.size("near"), F.lit(0)))).first()[0] or 0 for level in index.levels)
+
+
+def test_zones_alike_in_a_cell_add_nothing(spark):
+    """However often a map is drawn over itself, the index holds the first of each zone."""
+    sizes = []
+    for copies in (1, 8):
+        zones = crowd(spark, random.Random(5), 40, copies)
+        index = build_zone_index(zones, 0.5, target_edges=20)
+        sizes.append((entries_of(index), sum(level.count() for level in index.levels)))
+        pings = points(spark, [(i, (i * 31 % 101) / 80, (i * 17 % 103) / 80) for i in range(500)])
+        assert labels(with_zone(pings, index)) == brute_force(zones, pings)
+        index.release()
+    assert sizes[0] == sizes[1]
+
+
+def test_rounds_of_a_split_change_nothing(spark, monkeypatch):
+    """First zones first, and those behind them not looked at: the cells are those of a split in one round."""
+    zones = crowd(spark, random.Random(6), 300)
+    pings = points(spark, [(i, (i * 31 % 101) / 80, (i * 17 % 103) / 80) for i in range(500)])
+    asked = []
+    children = zone_index._children
+
+    def seen(entries, box, tasks, covering=None):
+        asked.append(covering is not None)
+        return children(entries, box, tasks, covering)
+
+    monkeypatch.setattr(zone_index, "_children", seen)
+    found = []
+    for first in (zone_index.ROUND_ENTRIES, 50):
+        monkeypatch.setattr(zone_index, "ROUND_ENTRIES", first)
+        index = build_zone_index(zones, 0.5, target_edges=20)
+        assert any(asked) == (first == 50)
+        found.append([sorted(map(str, level.collect())) for level in index.levels])
+        assert labels(with_zone(pings, index)) == brute_force(zones, pings)
+        index.release()
+    assert found[0] == found[1]
+
+
+def test_many_zones_start_from_coarse_cells(spark, monkeypatch):
+    """The first grid has few cells for each zone; the crowded ones alone are split."""
+    monkeypatch.setattr(zone_index, "FIRST_ENTRIES", 100)
+    zones = crowd(spark, random.Random(7), 200)
+    index = build_zone_index(zones, target_edges=20)
+    assert index.levels[0].filter("depth = 0").count() <= 2 * zone_index.FIRST_PER_ZONE * 201 and index.splits
+    pings = points(spark, [(i, (i * 31 % 101) / 80, (i * 17 % 103) / 80) for i in range(500)])
+    assert labels(with_zone(pings, index)) == brute_force(zones, pings)
+    index.release()
+
+
 def test_cell_size_follows_the_number_of_zones():
     assert default_cell(4, 4.0, 2.0) == 1 / 32
     assert default_cell(10_000_000, 10_000_000.0, 2.0) == 1 / 4
