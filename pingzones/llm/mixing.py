@@ -8,12 +8,13 @@ remains fractional meets in a reduction tree: one document per block, then one
 per group of blocks, then one per source.  A move keeps the words of the
 source, so only the last document's rounding changes its total.  Long
 documents are rounded first and what they missed is spread over the short ones,
-so that the last document is a short one.
+so that the last document is a short one.  Documents without words have no mass;
+they pair with one another and move copies, which changes no words.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,19 +73,24 @@ def _with_weights(sizes: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     return placed.join(F.broadcast(starts), "_part").select("source", "source_size", of_rank.alias("weight"))
 
 
-def _round_pairs(block: pd.DataFrame) -> pd.DataFrame:
-    """One document after the other against the one still fractional."""
-    block = block.sort_values(["_unit", "_size"], ignore_index=True)
-    size, part, chance = (block[c].tolist() for c in ("_size", "_part", "_chance"))
-    open_ = None
-    for i, p in enumerate(part):
+def _round_pairs(block: pa.Table) -> pa.Table:
+    """One document after the other against the one of its kind still fractional.
+
+    Documents without words are a kind of their own, in which copies move.  All
+    columns but ``_part`` stay in Arrow: pandas would turn ids beside a null into doubles.
+    """
+    unit, size, part, chance = (block[c].to_pylist() for c in ("_unit", "_size", "_part", "_chance"))
+    still_open = {}
+    for i in sorted(range(len(unit)), key=lambda i: (unit[i], size[i])):
+        p, kind = part[i], size[i] > 0
         if not WHOLE < p < 1 - WHOLE:
             part[i] = float(round(p))
             continue
+        open_ = still_open.get(kind)
         if open_ is None:
-            open_ = i
+            still_open[kind] = i
             continue
-        a, b, q = size[open_], size[i], part[open_]
+        a, b, q = size[open_] or 1, size[i] or 1, part[open_]
         up, down = min(a * (1 - q), b * p), min(a * q, b * (1 - p))
         if chance[i] * (up + down) < down:
             q, p = q + up / a, p - up / b
@@ -97,8 +103,8 @@ def _round_pairs(block: pd.DataFrame) -> pd.DataFrame:
         if not WHOLE < p < 1 - WHOLE:
             part[i] = float(round(p))
             open_ = None if open_ == i else open_
-    block["_part"] = part
-    return block
+        still_open[kind] = open_
+    return block.set_column(block.schema.get_field_index("_part"), "_part", pa.array(part, pa.float64()))
 
 
 def _round(units: DataFrame, blocks: int, seed: int) -> DataFrame:
@@ -110,7 +116,7 @@ def _round(units: DataFrame, blocks: int, seed: int) -> DataFrame:
     whole, level = None, 0
     while True:
         dealt = units.withColumn("_chance", uniform("_unit", F.lit(seed), F.lit(level)))
-        rounded = dealt.groupBy("source", "_block").applyInPandas(_round_pairs, dealt.schema)
+        rounded = dealt.groupBy("source", "_block").applyInArrow(_round_pairs, dealt.schema)
         rounded = stored(rounded.drop("_chance"), "mix-level")
         is_whole = F.col("_part").isin(0.0, 1.0)
         if blocks <= 1:

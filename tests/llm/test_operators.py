@@ -137,6 +137,29 @@ def test_mix_is_fair(spark):
     assert max(seen.values()) <= 3 and len([d for d in seen if seen[d] > 0]) > 320
 
 
+def test_mix_of_texts_without_words(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(mixing, "FAN_IN", 3)
+    texts = [None, "", " \t\n", "one two three", "four", "five six"]
+    rows = [(i, texts[i % 6], "s" if i < 300 else "t" if i % 6 < 3 else "u") for i in range(400)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=0.5).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(400))
+    for s in "stu":
+        of_s = [r for r in got if r["source"] == s]
+        words, target = of_s[0]["source_size"], of_s[0]["target"]
+        assert abs(sum(r["taken"] for r in of_s) - target) < 3
+        empty = [r["copies"] for r in of_s if r["size"] == 0]
+        wanted = len(empty) * target / words if words else 0
+        assert abs(sum(empty) - wanted) < 1 and set(empty) <= {int(target / max(words, 1)), int(target / max(words, 1)) + 1}
+
+
+def test_mix_keeps_ids_beside_null_ones(spark):
+    ids = [None if i % 5 == 0 else 2**63 - 1 - i if i % 5 < 3 else 2**53 + i for i in range(40)]
+    rows = [(i, "one two three", "ab"[k % 2]) for k, i in enumerate(ids)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(ids)
+
+
 def test_mixed_documents_repeats_rows(spark, awkward):
     mixed = mixing.mixed_documents(awkward)
     assert mixed.schema == awkward.schema
